@@ -4,37 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: what counts as a number or a whole number in text input.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 WHOLE = r"^\s*[+-]?\d+\s*$"
 
 
-def to_number(col: Column) -> Column:
-    """Text or number to double; anything that is not a finite number is null."""
-    text = col.cast("string")
-    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+def to_number(text: Column) -> Column:
+    """Text to double; text that is not a number is null."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def number_or_null(col: Column) -> Column:
-    """Double column with NaN and infinities turned into null."""
-    value = col.cast("double")
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    """Double column with NaN turned into null."""
+    return F.nanvl(col.cast("double"), F.lit(None).cast("double"))
 
 
-def to_whole(col: Column) -> Column:
+def as_number(df: DataFrame, name: str) -> Column:
+    """A column as double by what it is: only text is parsed."""
+    kind = df.schema[name].dataType
+    col = F.col(name)
+    if isinstance(kind, T.StringType):
+        return to_number(col)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return number_or_null(col)
+    return col.cast("double")
+
+
+def to_whole(text: Column) -> Column:
     """Whole number or null; ``'13.0'`` is not whole."""
-    text = col.cast("string")
     return F.when(text.rlike(WHOLE), F.trim(text).try_cast("bigint"))
 
 
-def hhmm_to_hour(col: Column) -> Column:
-    """HHMM clock value to an hour kept within 0..23; bad values are null."""
-    hour = F.floor(to_whole(col) / F.lit(100.0)).cast("int")
-    return F.when(hour.isNotNull(), F.least(F.lit(23), F.greatest(F.lit(0), hour)))
+def as_whole(df: DataFrame, name: str) -> Column:
+    """A column as whole number by what it is: only text is parsed, fractions are cut."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return to_whole(F.col(name))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return number_or_null(F.col(name)).cast("bigint")
+    return F.col(name)
+
+
+def hhmm_to_hour(hhmm: Column) -> Column:
+    """HHMM clock value to an hour kept within 0..23; null stays null."""
+    hour = F.floor(hhmm / F.lit(100.0)).cast("int")
+    # greatest and least skip nulls, so the null has to go through on its own.
+    return F.when(hhmm.isNotNull(), F.least(F.lit(23), F.greatest(F.lit(0), hour)))
 
 
 def over_or_one(numerator: Column, denominator: Column) -> Column:

@@ -25,7 +25,7 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str] = K.REPORT_NUMERIC) -> DataFrame:
     """To double, bad values to null; columns that are absent are skipped."""
-    return df.withColumns({c: numbers.to_number(F.col(c)) for c in cols if c in df.columns})
+    return df.withColumns({c: numbers.as_number(df, c) for c in cols if c in df.columns})
 
 
 def normalize_codes(df: DataFrame, cols: Sequence[str] = ("carrier", "airport")) -> DataFrame:
@@ -60,12 +60,12 @@ def clean_flights(df: DataFrame) -> DataFrame:
         df.withColumns(
             {
                 "FL_DATE": codes.to_date(F.col("FL_DATE")),
-                "DEP_HOUR": numbers.hhmm_to_hour(F.col("CRS_DEP_TIME")),
+                "DEP_HOUR": numbers.hhmm_to_hour(numbers.as_whole(df, "CRS_DEP_TIME")),
                 "OP_CARRIER": codes.normalize_code(F.col("OP_CARRIER")),
                 "FL_NUM": codes.strip(F.col("FL_NUM").cast("string")),
                 "ORIGIN": codes.normalize_code(F.col("ORIGIN")),
                 "DEST": codes.normalize_code(F.col("DEST")),
-                "DEP_DELAY": numbers.to_number(F.col("DEP_DELAY")),
+                "DEP_DELAY": numbers.as_number(df, "DEP_DELAY"),
             }
         )
         .na.drop(subset=["DEP_HOUR"])

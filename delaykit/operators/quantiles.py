@@ -19,13 +19,17 @@ RANGES = 128
 
 def placed_values(df: DataFrame, col: str, ranges: int = RANGES) -> DataFrame:
     """Distinct values with ``first`` and ``last``, the zero-based ranks they hold."""
-    counted = df.na.drop(subset=[col]).groupBy(F.col(col).alias("value")).agg(
-        F.count(F.lit(1)).alias("n")
+    counted = (
+        df.na.drop(subset=[col])
+        .groupBy(F.col(col).cast("double").alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .persist()
     )
     steps = [i / ranges for i in range(1, ranges)]
-    edges = counted.agg(F.percentile_approx("value", steps, 10_000)).scalar()
-    bucket = F.size(F.filter(edges, lambda e: e <= F.col("value")))
-    placed = counted.withColumn("bucket", bucket)
+    # A fixed number of edges, whatever the data.
+    edges = counted.agg(F.percentile_approx("value", steps, 10_000)).first()[0] or []
+    listed = F.array(*[F.lit(float(e)) for e in sorted(set(edges))]).cast("array<double>")
+    placed = counted.withColumn("bucket", F.size(F.filter(listed, lambda e: e <= F.col("value"))))
     totals = placed.groupBy("bucket").agg(F.sum("n").alias("bucket_n"))
     offsets = totals.select(
         "bucket", (F.sum("bucket_n").over(W.orderBy("bucket")) - F.col("bucket_n")).alias("before")

@@ -1,6 +1,12 @@
 """Registered queries; importing the package fills the catalog."""
 
-from delaykit.plans import report_queries  # noqa: F401
+from delaykit.plans import (  # noqa: F401
+    feature_queries,
+    flight_queries,
+    report_queries,
+    statistics_queries,
+    text_queries,
+)
 from delaykit.plans.catalog import CATALOG
 
 __all__ = ["CATALOG"]
