@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
+ROW_DIGITS = 4
 
 
 class Entry(NamedTuple):
@@ -27,20 +28,28 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles})
 
 
-def query(name: str, sql: str | None = None, doubles: tuple[str, ...] | list[str] = ()):
-    """Register a query; ``doubles`` are the columns the SQL still has to round."""
+def query(
+    name: str, sql: str | None = None, doubles: tuple[str, ...] | list[str] = (), digits: int = DIGITS
+):
+    """Register a query; ``doubles`` are the columns the SQL still has to round.
+
+    Tables with a row per flight use fewer digits: among that many values some
+    would otherwise lie where the last bit decides the rounding.
+    """
 
     def register(fn: Query) -> Query:
         if name in CATALOG:
             raise ValueError(f"query {name} is registered twice")
-        CATALOG[name] = Entry(lambda spark, path: rounded(fn(spark, path)), _rounded_sql(sql, doubles))
+        CATALOG[name] = Entry(
+            lambda spark, path: rounded(fn(spark, path), digits), _rounded_sql(sql, doubles, digits)
+        )
         return fn
 
     return register
 
 
-def _rounded_sql(sql: str | None, doubles) -> str | None:
+def _rounded_sql(sql: str | None, doubles, digits: int) -> str | None:
     if sql is None or not doubles:
         return sql
-    swaps = ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in doubles)
+    swaps = ", ".join(f"round({c}, {digits}) AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({swaps}) FROM ({sql}) AS result"

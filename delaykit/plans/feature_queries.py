@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from delaykit import constants as K
 from delaykit.operators import engineered, features
-from delaykit.plans.catalog import query
+from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.flight_queries import enriched, lookups, route_table
 from delaykit.plans.views import each, with_views
 from delaykit.sources import testdata as data
@@ -19,7 +19,7 @@ def feature_table(spark, path):
     return features.training_features(enriched(spark, path))
 
 
-@query("training_features", with_views("feat", f"SELECT {_FEATURES}, DEP_DELAY FROM feat"), [*_DOUBLES, "DEP_DELAY"])
+@query("training_features", with_views("feat", f"SELECT {_FEATURES}, DEP_DELAY FROM feat"), [*_DOUBLES, "DEP_DELAY"], digits=ROW_DIGITS)
 def _(spark, path):
     return feature_table(spark, path)
 
@@ -36,6 +36,7 @@ def _(spark, path):
         t="SELECT * FROM cf WHERE FL_DATE < DATE '1998-01-01'",
     ),
     ["DEP_DELAY", *K.ENCODINGS],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     flights = enriched(spark, path)
@@ -48,6 +49,7 @@ def _(spark, path):
     "serving_features",
     with_views("serv", f"SELECT query_id, rank, flight_date, {_FEATURES}, carrier_avg_delay, carrier_delay_rate FROM serv"),
     [*_DOUBLES, "carrier_avg_delay", "carrier_delay_rate"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     return features.serving_features(data.requests(spark, path), *lookups(spark, path), route_table(spark, path))
@@ -59,7 +61,7 @@ _AVAIL_DOUBLES = [
 ]
 
 
-@query("availability_features", with_views("avail", "SELECT * FROM avail"), _AVAIL_DOUBLES)
+@query("availability_features", with_views("avail", "SELECT * FROM avail"), _AVAIL_DOUBLES, digits=ROW_DIGITS)
 def _(spark, path):
     return features.availability_features(data.requests(spark, path), *lookups(spark, path))
 
@@ -114,6 +116,7 @@ _ID_COLS = ["route", "OP_CARRIER", "dep_hour", "dow", "DEP_DELAY"]
     ),
     ["DEP_DELAY", "dow_X_is_weekend", "dow_X_airline_avg_delay", "is_weekend_X_airline_avg_delay",
      "dow_DIV_dep_hour", "airline_avg_delay_DIV_dep_hour"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     base = feature_table(spark, path)
@@ -129,6 +132,7 @@ def _(spark, path):
         sqrt(greatest(DEP_DELAY, 0)) AS sqrt_DEP_DELAY FROM feat""",
     ),
     ["DEP_DELAY", "dow_squared", "log_airline_avg_delay", "sqrt_DEP_DELAY"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     base = feature_table(spark, path)
@@ -146,6 +150,7 @@ _RISK_SUM = each(
     "composite_delay_risk",
     with_views("feat", f"SELECT {_ID}, ({_RISK_SUM}) / {len(_RISK)} AS composite_delay_risk_score FROM feat"),
     ["DEP_DELAY", "composite_delay_risk_score"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     base = feature_table(spark, path).persist()
@@ -197,6 +202,7 @@ _sum = " + ".join(_clip)
         f"FROM (SELECT *, {_sum} AS s FROM feat) t",
     ),
     ["DEP_DELAY", "delay_type_diversity_score"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     base = feature_table(spark, path)
@@ -213,6 +219,7 @@ def _(spark, path):
           least(origin_avg_delay, route_avg_delay) AS min_delays_group FROM feat""",
     ),
     ["DEP_DELAY", "avg_rates_group", "sum_rates_group", "max_delays_group", "min_delays_group"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     base = feature_table(spark, path)
@@ -231,7 +238,7 @@ _NEW = [
 ]
 
 
-@query("engineer_all")
+@query("engineer_all", digits=ROW_DIGITS)
 def _(spark, path):
     return engineered_table(spark, path).select(*_ID_COLS, *_NEW)
 
@@ -280,6 +287,7 @@ _NUM = list(K.NUMERIC_FEATURES)
         f"SELECT route, OP_CARRIER, {each('({} - avg({}) OVER ()) / stddev_pop({}) OVER () AS {}', _NUM)} FROM feat",
     ),
     _NUM,
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     base = feature_table(spark, path).select("route", "OP_CARRIER", *_NUM).persist()

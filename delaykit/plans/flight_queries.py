@@ -8,7 +8,7 @@ from delaykit import constants as K
 from delaykit.functions import codes, labels
 from delaykit.operators import cleaning, enrichment, features, quantiles, splitting, summaries
 from delaykit.operators import history as past
-from delaykit.plans.catalog import query
+from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.report_queries import hist, history_report
 from delaykit.plans.views import HUBS, digest_sql, each, scenario, strip, timed, whole, with_views
 from delaykit.sources import testdata as data
@@ -224,6 +224,7 @@ _ADDED = [f"{c}{s}" for s in ("_origin", "_dest") for c in K.HISTORY + ("arr_fli
     "enrich_origin_dest",
     with_views("enr", f"SELECT {_LIST}, year, month, {', '.join(_ADDED)} FROM enr"),
     ["DEP_DELAY", "DISTANCE", *_ADDED],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     return enriched(spark, path).select(*FLIGHT, "year", "month", *_ADDED)
@@ -239,6 +240,7 @@ _ENCODED = """
     "target_encode_join",
     with_views("cf", f"SELECT {_LIST}, {_ENCODED} FROM cf"),
     ["DEP_DELAY", "DISTANCE", *K.ENCODINGS],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     return enrichment.target_encode_join(clean(spark, path)).select(*FLIGHT, *K.ENCODINGS)
@@ -265,6 +267,7 @@ _LED = ["carrier_avg_delay", "carrier_delay_rate", *K.HISTORY_ORIGIN, *K.HISTORY
     "lookup_enrich_default",
     with_views("led", f"SELECT query_id, rank, carrier, origin, dest, flight_date, dep_hour, {', '.join(_LED)} FROM led"),
     _LED,
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     return enrichment.lookup_enrich_default(data.requests(spark, path), *lookups(spark, path))
@@ -279,6 +282,7 @@ def _(spark, path):
         FROM req r LEFT JOIN rt t ON r.origin = t.ORIGIN AND r.dest = t.DEST""",
     ),
     ["route_distance", "route_avg_delay"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     out = enrichment.route_lookup_default(data.requests(spark, path), route_table(spark, path))
@@ -337,6 +341,7 @@ def _(spark, path):
         FROM led l LEFT JOIN rt t ON l.origin = t.ORIGIN AND l.dest = t.DEST""",
     ),
     ["expected_delay"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     enriched_ = enrichment.lookup_enrich_default(data.requests(spark, path), *lookups(spark, path))

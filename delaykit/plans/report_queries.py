@@ -9,7 +9,7 @@ from delaykit.functions import numbers
 from delaykit.operators import cleaning, enrichment, metrics, summaries
 from delaykit.operators import history as past
 from delaykit.operators.splitting import sample_keys, stratified_split
-from delaykit.plans.catalog import query
+from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.views import HUBS, digest_sql, each, number, strip, with_views
 from delaykit.sources import testdata as data
 from delaykit.sources.csv_files import union_sources
@@ -580,6 +580,7 @@ _GRID_HIST = ("total_delay_rate_origin", "avg_carrier_delay_origin", "total_dela
           WHERE rn = 1""",
     ),
     (*K.ENCODINGS, *_GRID_HIST, "ARR_DELAY"),
+    digits=ROW_DIGITS,
 )
 def expected_delay_grid(spark, path):
     h = hist(spark, path)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from delaykit.operators import statistics as st
-from delaykit.plans.catalog import query
+from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.report_queries import report
 from delaykit.plans.views import with_views
 
@@ -76,6 +76,7 @@ def _(spark, path):
         ),
     ),
     ["x", "y", "predicted"],
+    digits=ROW_DIGITS,
 )
 def _(spark, path):
     return st.regression_line(report(spark, path))

@@ -13,7 +13,7 @@ from delaykit.sources import testdata as data
 _FM = rf"'{K.FLIGHT_MENTION}'"
 _clock = "CASE WHEN departure_hour IS NOT NULL THEN printf('%02d:%02d', departure_hour, minute) END"
 
-_LISTED = f"""SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank, title, snippet, link, position) AS at FROM (
+_LISTED = f"""SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank, title, snippet, link, position) AS nth FROM (
   SELECT query_id, rank, title, snippet, link, departure_hour, {_clock} AS departure_time,
     generate_subscripts(c, 1) - 1 AS position, unnest(c) AS carrier, unnest(n) AS number
   FROM (SELECT *, regexp_extract_all(text, {_FM}, 1) AS c, regexp_extract_all(text, {_FM}, 2) AS n
@@ -25,7 +25,7 @@ _LISTED = f"""SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank,
     with_views(
         "clocked",
         """SELECT query_id, rank, CAST(position AS INT) AS position, carrier, number, carrier || number AS flight_number,
-        title, link, departure_time, departure_hour FROM listed WHERE at <= 10""",
+        title, link, departure_time, departure_hour FROM listed WHERE nth <= 10""",
         listed=_LISTED,
     ),
 )
@@ -39,7 +39,7 @@ def flight_mentions(spark, path):
         "clocked",
         """SELECT query_id, carrier, count(*) AS n_flights,
         string_agg(carrier || number, ',' ORDER BY rank, position, carrier || number) AS flights
-        FROM listed WHERE at <= 10 GROUP BY query_id, carrier""",
+        FROM listed WHERE nth <= 10 GROUP BY query_id, carrier""",
         listed=_LISTED,
     ),
 )
@@ -52,7 +52,7 @@ def _(spark, path):
     "covered_mentions",
     with_views(
         "clocked",
-        """SELECT query_id, carrier, number FROM listed WHERE at <= 10 AND carrier IN ('UA', 'AA', 'DL')""",
+        """SELECT query_id, carrier, number FROM listed WHERE nth <= 10 AND carrier IN ('UA', 'AA', 'DL')""",
         listed=_LISTED,
     ),
 )
@@ -80,7 +80,7 @@ _RP, _RS = rf"'{K.ROUTE_PAIR}'", rf"'{K.ROUTE_SPACED}'"
     with_views(
         "ranked",
         """SELECT query_id, origin, destination, title, link FROM (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rn) AS at FROM m WHERE origin IS NOT NULL) t WHERE at = 1""",
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rn) AS nth FROM m WHERE origin IS NOT NULL) t WHERE nth = 1""",
         m=f"""SELECT query_id, rn, title, link,
           CASE WHEN regexp_extract(text, {_RP}, 1) <> '' THEN regexp_extract(text, {_RP}, 1)
             WHEN regexp_extract(text, {_RS}, 1) <> '' THEN regexp_extract(text, {_RS}, 1) END AS origin,
@@ -104,7 +104,7 @@ _STATUS = """SELECT query_id, rn, link, CASE WHEN contains(text, 'DELAYED') THEN
     with_views(
         "ranked",
         """SELECT query_id, status, link AS status_link FROM (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rn DESC) AS at FROM m WHERE status IS NOT NULL) t WHERE at = 1""",
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rn DESC) AS nth FROM m WHERE status IS NOT NULL) t WHERE nth = 1""",
         m=_STATUS,
     ),
 )
@@ -119,7 +119,7 @@ for _keep, _order in (("first", "rn"), ("last", "rn DESC")):
         with_views(
             "ranked",
             f"""SELECT query_id, array_to_string(times, ',') AS times FROM (
-              SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {_order}) AS at FROM m WHERE len(times) > 0) t WHERE at = 1""",
+              SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {_order}) AS nth FROM m WHERE len(times) > 0) t WHERE nth = 1""",
             m=rf"SELECT query_id, rn, regexp_extract_all(text, '{K.CLOCK_ANY}', 1) AS times FROM ranked WHERE rn <= 3",
         ),
     )
