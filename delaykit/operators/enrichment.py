@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from delaykit import constants as K
 from delaykit.functions import codes
-from delaykit.operators.lookups import lookup_join, rename_all
+from delaykit.operators.lookups import lookup_join, record_join, rename_all
 from delaykit.operators.summaries import (
     carrier_airport_month_lookup,
     mean_from_counts,
@@ -22,25 +22,44 @@ FILLED_MARKS = ("delay_rate", "avg_delay", "arr_flights")
 
 def enrich_origin_dest(flights: DataFrame, history: DataFrame) -> DataFrame:
     """Monthly carrier history at both ends of the flight."""
-    lookup = carrier_airport_month_lookup(history).persist()
+    values = K.HISTORY + ("arr_flights",)
+    filled = [c for c in values if any(mark in c for mark in FILLED_MARKS)]
+    # Nulls are filled in the small table, and once more for flights without history.
+    lookup = carrier_airport_month_lookup(history).na.fill(0.0, subset=filled).persist()
+    nothing = F.struct(
+        *[(F.lit(0.0) if c in filled else F.lit(None)).cast("double").alias(c) for c in values]
+    )
     dated = flights.withColumns({"year": F.year("FL_DATE"), "month": F.month("FL_DATE")})
-    for end, suffix in (("ORIGIN", "_origin"), ("DEST", "_dest")):
+    columns = dated.columns
+    for end, name in (("ORIGIN", "_o"), ("DEST", "_d")):
         side = lookup.withColumnsRenamed({"carrier": "OP_CARRIER", "airport": end})
-        keys = ["OP_CARRIER", end, "year", "month"]
-        dated = lookup_join(dated, rename_all(side, keys, suffix), keys)
-    added = [f"{c}{s}" for s in ("_origin", "_dest") for c in K.HISTORY + ("arr_flights",)]
-    filled = [c for c in added if any(mark in c for mark in FILLED_MARKS)]
-    return dated.na.fill(0.0, subset=filled)
-
-
-def target_encodings(fit_on: DataFrame) -> dict[str, tuple[list[str], DataFrame]]:
-    """Mean delay tables by route, origin and carrier from one pass."""
-    counts = route_counts(fit_on).persist()
-    return {
-        "route_avg_delay": (["ORIGIN", "DEST"], mean_from_counts(counts, ["ORIGIN", "DEST"], "route_avg_delay")),
-        "origin_avg_delay": (["ORIGIN"], mean_from_counts(counts, ["ORIGIN"], "origin_avg_delay")),
-        "airline_avg_delay": (["OP_CARRIER"], mean_from_counts(counts, ["OP_CARRIER"], "airline_avg_delay")),
-    }
+        dated = record_join(
+            dated, side.select("OP_CARRIER", end, "year", "month", *values),
+            ["OP_CARRIER", end, "year", "month"], name,
+        )
+    known = dated.withColumns({n: F.coalesce(n, nothing) for n in ("_o", "_d")})
+    return known.select(
+        *columns,
+        *[F.col(f"{n}.{c}").alias(f"{c}{s}") for n, s in (("_o", "_origin"), ("_d", "_dest")) for c in values],
+    )
+
+
+def encoding_table(flights: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+    """The three mean delays for every carrier and route that flies.
+
+    Sums by carrier and route are all that is read from the flights; the means
+    by route, origin and carrier are sums of those.
+    """
+    counts = route_counts(flights if fit_on is None else fit_on).persist()
+    flown = counts if fit_on is None else route_counts(flights)
+    table = flown.select("OP_CARRIER", "ORIGIN", "DEST")
+    for name, keys in (
+        ("route_avg_delay", ["ORIGIN", "DEST"]),
+        ("origin_avg_delay", ["ORIGIN"]),
+        ("airline_avg_delay", ["OP_CARRIER"]),
+    ):
+        table = table.join(mean_from_counts(counts, keys, name), keys, "left")
+    return table
 
 
 def target_encode_join(flights: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
@@ -49,14 +68,7 @@ def target_encode_join(flights: DataFrame, fit_on: DataFrame | None = None) -> D
     By default the means use every flight given, as training has always done;
     pass the training part as ``fit_on`` to keep the test part out of them.
     """
-    encoded = flights
-    for keys, means in target_encodings(flights if fit_on is None else fit_on).values():
-        encoded = lookup_join(encoded, means, keys)
-    return encoded
-
-
-def _default(value: float | Column) -> Column:
-    return value if isinstance(value, Column) else F.lit(float(value))
+    return lookup_join(flights, encoding_table(flights, fit_on), ["OP_CARRIER", "ORIGIN", "DEST"])
 
 
 def lookup_enrich_default(
@@ -74,43 +86,38 @@ def lookup_enrich_default(
     }
     base = requests.withColumns({c: F.upper(c) for c in ("carrier", "origin", "dest")})
 
-    carrier_side = carrier.select(
+    mine = carrier.select(
         F.col("OP_CARRIER").alias("carrier"),
         F.col("avg_delay_minutes_origin").alias("carrier_avg_delay"),
         F.col("total_delay_rate_origin").alias("carrier_delay_rate"),
-        F.lit(True).alias("_carrier_known"),
     )
-    joined = lookup_join(base, carrier_side, ["carrier"])
-    joined = joined.withColumns(
-        {
-            "carrier_avg_delay": _known_or(
-                "_carrier_known", "carrier_avg_delay", mean_delay["carrier"]
-            ),
-            "carrier_delay_rate": _known_or(
-                "_carrier_known", "carrier_delay_rate", K.DEFAULT_CARRIER_RATE
-            ),
-        }
-    ).drop("_carrier_known")
-
-    for end, suffix in (("origin", "_origin"), ("dest", "_dest")):
+    strange = F.struct(
+        mean_delay["carrier"].alias("carrier_avg_delay"),
+        F.lit(K.DEFAULT_CARRIER_RATE).alias("carrier_delay_rate"),
+    )
+    joined = record_join(base, mine, ["carrier"], "_c")
+    for end, name in (("origin", "_o"), ("dest", "_d")):
         side = airport.select(
-            F.col("ORIGIN").alias(end),
-            *[F.col(f"{c}_origin").alias(f"{c}{suffix}") for c in K.HISTORY],
-            F.lit(True).alias("_known"),
+            F.col("ORIGIN").alias(end), *[F.col(f"{c}_origin").alias(c) for c in K.HISTORY]
         )
-        joined = lookup_join(joined, side, [end])
-        unknown = {c: 0.0 for c in K.HISTORY}
-        unknown["total_delay_rate"] = K.DEFAULT_AIRPORT_RATE
-        unknown["avg_delay_minutes"] = mean_delay["airport"]
-        joined = joined.withColumns(
-            {f"{c}{suffix}": _known_or("_known", f"{c}{suffix}", unknown[c]) for c in K.HISTORY}
-        ).drop("_known")
-    return joined
-
-
-def _known_or(flag: str, col: str, default: float | Column) -> Column:
-    """The looked-up value as it is, or the default when the key was unknown."""
-    return F.when(F.col(flag), F.col(col)).otherwise(_default(default))
+        joined = record_join(joined, side, [end], name)
+    unknown = {c: F.lit(0.0) for c in K.HISTORY}
+    unknown["total_delay_rate"] = F.lit(K.DEFAULT_AIRPORT_RATE)
+    unknown["avg_delay_minutes"] = mean_delay["airport"]
+    elsewhere = F.struct(*[v.alias(c) for c, v in unknown.items()])
+    known = joined.withColumns(
+        {
+            "_c": F.coalesce("_c", strange),
+            "_o": F.coalesce("_o", elsewhere),
+            "_d": F.coalesce("_d", elsewhere),
+        }
+    )
+    return known.select(
+        *base.columns,
+        "_c.carrier_avg_delay",
+        "_c.carrier_delay_rate",
+        *[F.col(f"{n}.{c}").alias(f"{c}{s}") for n, s in (("_o", "_origin"), ("_d", "_dest")) for c in K.HISTORY],
+    )
 
 
 def route_lookup_default(requests: DataFrame, routes: DataFrame | None) -> DataFrame:
@@ -130,17 +137,14 @@ def route_lookup_default(requests: DataFrame, routes: DataFrame | None) -> DataF
     side = routes.select(
         F.col("ORIGIN").alias("origin"),
         F.col("DEST").alias("dest"),
-        (F.col("DISTANCE") if "DISTANCE" in has else F.lit(K.DEFAULT_DISTANCE)).alias("_distance"),
-        (F.col("avg_delay") if "avg_delay" in has else F.lit(0.0)).alias("_delay"),
-        F.lit(True).alias("_route_known"),
+        (F.col("DISTANCE") if "DISTANCE" in has else F.lit(K.DEFAULT_DISTANCE)).alias("route_distance"),
+        (F.col("avg_delay") if "avg_delay" in has else F.lit(0.0)).alias("route_avg_delay"),
+    )
+    joined = record_join(requests, side, ["origin", "dest"], "_r")
+    strange = F.struct(*[v.alias(c) for c, v in fallback.items()])
+    return joined.withColumn("_r", F.coalesce("_r", strange)).select(
+        *requests.columns, "_r.route_distance", "_r.route_avg_delay"
     )
-    joined = lookup_join(requests, side, ["origin", "dest"])
-    return joined.withColumns(
-        {
-            "route_distance": _known_or("_route_known", "_distance", fallback["route_distance"]),
-            "route_avg_delay": _known_or("_route_known", "_delay", fallback["route_avg_delay"]),
-        }
-    ).drop("_distance", "_delay", "_route_known")
 
 
 def covered_carriers(flights: DataFrame, coverage: DataFrame) -> DataFrame:

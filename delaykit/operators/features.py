@@ -19,7 +19,7 @@ from delaykit.operators.enrichment import (
     route_lookup_default,
     target_encode_join,
 )
-from delaykit.operators.lookups import lookup_join
+from delaykit.operators.lookups import lookup_join, record_join
 
 
 def temporal_features(df: DataFrame, date: str = "FL_DATE", hour: str = "DEP_HOUR") -> DataFrame:
@@ -99,62 +99,59 @@ def availability_features(
     airport, carrier = airport.persist(), carrier.persist()
     mine = carrier.select(
         F.col("OP_CARRIER").alias("carrier"),
-        F.lit(True).alias("has_carrier"),
-        *_prefixed("c_", ("carrier_delay_rate", "avg_carrier_delay", "weather_delay_rate", "nas_delay_rate")),
+        *_plain(("carrier_delay_rate", "avg_carrier_delay", "weather_delay_rate", "nas_delay_rate")),
     )
-    origin = airport.select(
-        F.col("ORIGIN").alias("origin"),
-        F.lit(True).alias("has_origin"),
-        *_prefixed(
-            "o_",
-            ("total_delay_rate", "avg_delay_minutes", "weather_delay_rate", "nas_delay_rate",
-             "security_delay_rate", "late_aircraft_delay_rate"),
-        ),
-    )
-    dest = airport.select(
-        F.col("ORIGIN").alias("dest"),
-        F.lit(True).alias("has_dest"),
-        *_prefixed("d_", ("total_delay_rate", "avg_delay_minutes", "weather_delay_rate", "nas_delay_rate")),
-    )
-    joined = lookup_join(
-        lookup_join(lookup_join(requests, mine, ["carrier"]), origin, ["origin"]), dest, ["dest"]
+    ends = {
+        end: airport.select(
+            F.col("ORIGIN").alias(end),
+            *_plain(("total_delay_rate", "avg_delay_minutes", "weather_delay_rate", "nas_delay_rate",
+                     "security_delay_rate", "late_aircraft_delay_rate")),
+        )
+        for end in ("origin", "dest")
+    }
+    joined = record_join(requests, mine, ["carrier"], "_c")
+    joined = record_join(joined, ends["origin"], ["origin"], "_o")
+    joined = record_join(joined, ends["dest"], ["dest"], "_d")
+
+    by_carrier = ("carrier_delay_rate", "avg_carrier_delay")
+    by_origin = (
+        "total_delay_rate", "weather_delay_rate", "nas_delay_rate", "security_delay_rate",
+        "late_aircraft_delay_rate",
     )
-    defaults = {c: F.lit(v) for c, v in K.REQUEST_DEFAULTS.items()}
 
-    def over(flag: str, source: str, default: Column) -> Column:
-        return F.when(F.col(flag).isNotNull(), F.col(source)).otherwise(default)
+    def value(name: str) -> Column:
+        default = F.lit(K.REQUEST_DEFAULTS[name])
+        for source, names in (("_c", by_carrier), ("_o", by_origin)):
+            if name in names:
+                return F.when(F.col(source).isNotNull(), F.col(f"{source}.{name}")).otherwise(default)
+        return default
 
-    values = dict(defaults)
-    values["carrier_delay_rate"] = over("has_carrier", "c_carrier_delay_rate", defaults["carrier_delay_rate"])
-    values["avg_carrier_delay"] = over("has_carrier", "c_avg_carrier_delay", defaults["avg_carrier_delay"])
-    for c in ("total_delay_rate", "weather_delay_rate", "nas_delay_rate", "security_delay_rate",
-              "late_aircraft_delay_rate"):
-        values[c] = over("has_origin", f"o_{c}", defaults[c])
     # Known only when the lookup is there.
     extras = {
-        "carrier_weather_delay_rate": F.col("c_weather_delay_rate"),
-        "carrier_nas_delay_rate": F.col("c_nas_delay_rate"),
-        "avg_delay_minutes": F.col("o_avg_delay_minutes"),
-        "dest_delay_rate": F.col("d_total_delay_rate"),
-        "dest_avg_delay": F.col("d_avg_delay_minutes"),
-        "dest_weather_delay_rate": F.col("d_weather_delay_rate"),
-        "dest_nas_delay_rate": F.col("d_nas_delay_rate"),
+        "carrier_weather_delay_rate": "_c.weather_delay_rate",
+        "carrier_nas_delay_rate": "_c.nas_delay_rate",
+        "avg_delay_minutes": "_o.avg_delay_minutes",
+        "dest_delay_rate": "_d.total_delay_rate",
+        "dest_avg_delay": "_d.avg_delay_minutes",
+        "dest_weather_delay_rate": "_d.weather_delay_rate",
+        "dest_nas_delay_rate": "_d.nas_delay_rate",
     }
-    flags = {f: F.coalesce(F.col(f), F.lit(False)) for f in ("has_carrier", "has_origin", "has_dest")}
+    flags = {"has_carrier": "_c", "has_origin": "_o", "has_dest": "_d"}
     return joined.select(
         *requests.columns,
-        *[c.alias(n) for n, c in flags.items()],
+        *[F.col(c).isNotNull().alias(n) for n, c in flags.items()],
         F.col("origin").alias("airport"),
         F.year("flight_date").alias("year"),
         F.month("flight_date").alias("month"),
         codes.is_weekend(F.col("flight_date")).alias("is_weekend"),
-        *[c.alias(n) for n, c in values.items()],
-        *[c.alias(n) for n, c in extras.items()],
+        *[value(n).alias(n) for n in K.REQUEST_DEFAULTS],
+        *[F.col(c).alias(n) for n, c in extras.items()],
     )
 
 
-def _prefixed(prefix: str, names: Sequence[str]) -> list[Column]:
-    return [F.col(f"{c}_origin").alias(f"{prefix}{c}") for c in names]
+def _plain(names: Sequence[str]) -> list[Column]:
+    """Lookup columns under the names they have without the suffix."""
+    return [F.col(f"{c}_origin").alias(c) for c in names]
 
 
 def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -57,6 +57,19 @@ def salted_join(
     return joined.select(*columns, *extra)
 
 
+def record_join(
+    facts: DataFrame, lookup: DataFrame, on: Sequence[str], name: str, **options
+) -> DataFrame:
+    """``lookup_join`` that adds the lookup's row as one struct, null if unknown.
+
+    A wide lookup crosses the join as a single column, which keeps the code
+    generated for the joins small enough to be compiled.
+    """
+    values = [c for c in lookup.columns if c not in on]
+    packed = lookup.select(*on, F.struct(*values).alias(name))
+    return lookup_join(facts, packed, on, **options)
+
+
 def rename_all(df: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
     """Suffix every column that is not a key."""
     return df.withColumnsRenamed({c: f"{c}{suffix}" for c in df.columns if c not in keys})
