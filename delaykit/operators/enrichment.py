@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from delaykit import constants as K
 from delaykit.functions import codes
-from delaykit.operators.lookups import lookup_join, record_join, rename_all
+from delaykit.operators.lookups import lookup_join, record_join, rename_all, settled
 from delaykit.operators.summaries import (
     carrier_airport_month_lookup,
     mean_from_counts,
@@ -25,7 +25,7 @@ def enrich_origin_dest(flights: DataFrame, history: DataFrame) -> DataFrame:
     values = K.HISTORY + ("arr_flights",)
     filled = [c for c in values if any(mark in c for mark in FILLED_MARKS)]
     # Nulls are filled in the small table, and once more for flights without history.
-    lookup = carrier_airport_month_lookup(history).na.fill(0.0, subset=filled).persist()
+    lookup = settled(carrier_airport_month_lookup(history).na.fill(0.0, subset=filled))
     nothing = F.struct(
         *[(F.lit(0.0) if c in filled else F.lit(None)).cast("double").alias(c) for c in values]
     )
@@ -35,7 +35,7 @@ def enrich_origin_dest(flights: DataFrame, history: DataFrame) -> DataFrame:
         side = lookup.withColumnsRenamed({"carrier": "OP_CARRIER", "airport": end})
         dated = record_join(
             dated, side.select("OP_CARRIER", end, "year", "month", *values),
-            ["OP_CARRIER", end, "year", "month"], name,
+            ["OP_CARRIER", end, "year", "month"], name, ready=True,
         )
     known = dated.withColumns({n: F.coalesce(n, nothing) for n in ("_o", "_d")})
     return known.select(
@@ -50,7 +50,7 @@ def encoding_table(flights: DataFrame, fit_on: DataFrame | None = None) -> DataF
     Sums by carrier and route are all that is read from the flights; the means
     by route, origin and carrier are sums of those.
     """
-    counts = route_counts(flights if fit_on is None else fit_on).persist()
+    counts = settled(route_counts(flights if fit_on is None else fit_on))
     flown = counts if fit_on is None else route_counts(flights)
     table = flown.select("OP_CARRIER", "ORIGIN", "DEST")
     for name, keys in (
@@ -79,7 +79,7 @@ def lookup_enrich_default(
     Requests have carrier, origin and dest. An unknown key gets the mean delay
     of the lookup, a fixed delay rate and zero for the rest.
     """
-    airport, carrier = airport.persist(), carrier.persist()
+    airport, carrier = settled(airport), settled(carrier)
     mean_delay = {
         "airport": airport.agg(F.avg("avg_delay_minutes_origin")).scalar(),
         "carrier": carrier.agg(F.avg("avg_delay_minutes_origin")).scalar(),
@@ -95,12 +95,12 @@ def lookup_enrich_default(
         mean_delay["carrier"].alias("carrier_avg_delay"),
         F.lit(K.DEFAULT_CARRIER_RATE).alias("carrier_delay_rate"),
     )
-    joined = record_join(base, mine, ["carrier"], "_c")
+    joined = record_join(base, mine, ["carrier"], "_c", ready=True)
     for end, name in (("origin", "_o"), ("dest", "_d")):
         side = airport.select(
             F.col("ORIGIN").alias(end), *[F.col(f"{c}_origin").alias(c) for c in K.HISTORY]
         )
-        joined = record_join(joined, side, [end], name)
+        joined = record_join(joined, side, [end], name, ready=True)
     unknown = {c: F.lit(0.0) for c in K.HISTORY}
     unknown["total_delay_rate"] = F.lit(K.DEFAULT_AIRPORT_RATE)
     unknown["avg_delay_minutes"] = mean_delay["airport"]

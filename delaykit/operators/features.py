@@ -19,7 +19,7 @@ from delaykit.operators.enrichment import (
     route_lookup_default,
     target_encode_join,
 )
-from delaykit.operators.lookups import lookup_join, record_join
+from delaykit.operators.lookups import lookup_join, record_join, settled
 
 
 def temporal_features(df: DataFrame, date: str = "FL_DATE", hour: str = "DEP_HOUR") -> DataFrame:
@@ -96,7 +96,7 @@ def availability_features(
     requests: DataFrame, airport: DataFrame, carrier: DataFrame
 ) -> DataFrame:
     """Which lookups know the request, and the defaulted features they override."""
-    airport, carrier = airport.persist(), carrier.persist()
+    airport, carrier = settled(airport), settled(carrier)
     mine = carrier.select(
         F.col("OP_CARRIER").alias("carrier"),
         *_plain(("carrier_delay_rate", "avg_carrier_delay", "weather_delay_rate", "nas_delay_rate")),
@@ -109,9 +109,9 @@ def availability_features(
         )
         for end in ("origin", "dest")
     }
-    joined = record_join(requests, mine, ["carrier"], "_c")
-    joined = record_join(joined, ends["origin"], ["origin"], "_o")
-    joined = record_join(joined, ends["dest"], ["dest"], "_d")
+    joined = record_join(requests, mine, ["carrier"], "_c", ready=True)
+    joined = record_join(joined, ends["origin"], ["origin"], "_o", ready=True)
+    joined = record_join(joined, ends["dest"], ["dest"], "_d", ready=True)
 
     by_carrier = ("carrier_delay_rate", "avg_carrier_delay")
     by_origin = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,19 @@ BROADCAST_ROWS = 200_000
 SALTS = 32
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written to the session's checkpoint folder, without their history.
+
+    A table used more than once is computed once this way, outlives the loss of
+    executors, and keeps the plans built on it short.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="delaykit-"))
+    return df.checkpoint()
+
+
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return lookup.limit(max_rows + 1).count() <= max_rows
 
@@ -24,17 +38,18 @@ def lookup_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    ready: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` (at most one row per key) on equal keys.
 
-    The lookup is usually an aggregate of something large, so it is kept after
-    the measurement instead of being computed again by the join. Within the
-    limit the facts are not moved at all. Beyond it the join shuffles, and each
+    The lookup is usually an aggregate of something large, so it is settled
+    before the measurement instead of being computed again by the join; pass
+    ``ready`` when it comes from a settled table already. Within the limit the facts are not moved at all. Beyond it the join shuffles, and each
     lookup row is repeated once per salt so that one hot key is spread over
     ``salts`` tasks.
     """
     on = list(on)
-    kept = lookup.persist()
+    kept = lookup if ready else settled(lookup)
     if fits_broadcast(kept, max_rows):
         return facts.join(F.broadcast(kept), on, how)
     return salted_join(facts, kept, on, how, salts)

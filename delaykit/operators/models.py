@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from delaykit import constants as K
 from delaykit.functions import labels
 from delaykit.operators.features import preprocessor_stages
-from delaykit.operators.lookups import lookup_join
+from delaykit.operators.lookups import lookup_join, settled
 from delaykit.operators.splitting import hash_fold
 
 TARGET = "DEP_DELAY"
@@ -91,15 +91,14 @@ def historical_mean_predictor(
     train: DataFrame, test: DataFrame, keys: Sequence[str] = ("route",), target: str = TARGET
 ) -> DataFrame:
     """Mean of the training rows with the same key, of all of them if there are none."""
-    sums = (
+    sums = settled(
         train.na.drop(subset=list(keys))
         .groupBy(*keys)
         .agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
-        .persist()
     )
     overall = sums.agg(F.try_divide(F.sum("_s"), F.sum("_n"))).scalar()
     means = sums.select(*keys, F.try_divide("_s", "_n").alias("_mean"))
-    joined = lookup_join(test, means, list(keys))
+    joined = lookup_join(test, means, list(keys), ready=True)
     return joined.withColumn("predicted", F.coalesce("_mean", overall)).drop("_mean")
 
 
@@ -140,10 +139,9 @@ def cv_mae(
     its own, so the rows are read twice and never copied per fold.
     """
     tagged = df.withColumn("fold", hash_fold(df, fold_on or df.columns, folds))
-    sums = (
+    sums = settled(
         tagged.groupBy(*keys, "fold")
         .agg(F.sum(target).alias("s"), F.count(target).alias("n"))
-        .persist()
     )
     per_key = W.partitionBy(*keys)
     means = sums.select(

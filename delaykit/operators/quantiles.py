@@ -14,16 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from delaykit.operators.lookups import settled
+
 RANGES = 128
 
 
 def placed_values(df: DataFrame, col: str, ranges: int = RANGES) -> DataFrame:
     """Distinct values with ``first`` and ``last``, the zero-based ranks they hold."""
-    counted = (
+    counted = settled(
         df.na.drop(subset=[col])
         .groupBy(F.col(col).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .persist()
     )
     steps = [i / ranges for i in range(1, ranges)]
     # A fixed number of edges, whatever the data.

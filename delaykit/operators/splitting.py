@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from delaykit.functions import labels
+from delaykit.operators.lookups import settled
 from delaykit.operators.selection import digest, take_exact, take_exact_overall
 
 
@@ -28,16 +29,15 @@ def temporal_split(df: DataFrame, date: str = "FL_DATE", test_size: float = 0.2)
     """
     dated = df.na.drop(subset=[date])
     # One row per calendar day.
-    per_date = dated.groupBy(date).agg(F.count(F.lit(1)).alias("n")).persist()
+    per_date = settled(dated.groupBy(date).agg(F.count(F.lit(1)).alias("n")))
     running = per_date.withColumn("upto", F.sum("n").over(W.orderBy(date)))
     size = F.floor(F.sum("n").over(W.partitionBy()) * F.lit(1 - test_size))
-    edge = (
+    edge = settled(
         running.withColumn("size", size)
         .filter((F.col("size") > F.col("upto") - F.col("n")) & (F.col("size") <= F.col("upto")))
         .select(
             F.col(date).alias("edge"), (F.col("size") - F.col("upto") + F.col("n")).alias("need")
         )
-        .persist()
     )
     on_edge = edge.select("edge").scalar()
     outside = dated.filter(F.coalesce(F.col(date) != on_edge, F.lit(True))).withColumn(
@@ -59,9 +59,7 @@ def random_split(df: DataFrame, test_size: float = 0.2) -> DataFrame:
 
 
 def _stratum_sizes(df: DataFrame, stratum: str) -> DataFrame:
-    return (
-        df.na.drop(subset=[stratum]).groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).persist()
-    )
+    return settled(df.na.drop(subset=[stratum]).groupBy(stratum).agg(F.count(F.lit(1)).alias("n")))
 
 
 def stratified_split(df: DataFrame, stratum: str = "airport", test_size: float = 0.2) -> DataFrame:

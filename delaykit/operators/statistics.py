@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from delaykit.functions import moments
 from delaykit.functions.tails import f_pvalue, t_pvalue
-from delaykit.operators.lookups import lookup_join
+from delaykit.operators.lookups import lookup_join, settled
 
 TARGET = "avg_delay_minutes"
 FACTORS = (
@@ -144,7 +144,7 @@ def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def anova(df: DataFrame, group: str = "carrier_name", value: str = TARGET) -> DataFrame:
     """One-way F statistic with its degrees of freedom."""
-    groups = group_moments(df, group, value).persist()
+    groups = settled(group_moments(df, group, value))
     total = F.sum("n")
     grand = F.try_divide(F.sum(F.col("n") * F.col("mean")), total)
     sums = groups.agg(
@@ -198,7 +198,7 @@ def top_bottom_moments(
     df: DataFrame, group: str = "carrier_name", value: str = TARGET, n: int = 5
 ) -> DataFrame:
     """n, mean, sd and sum of squares of the top and bottom groups by mean."""
-    groups = group_moments(df, group, value).persist()
+    groups = settled(group_moments(df, group, value))
     # Windows over one row per group.
     marked = groups.withColumns(
         {

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from delaykit import constants as K
 from delaykit.operators import engineered, features
+from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.flight_queries import enriched, lookups, route_table
 from delaykit.plans.views import each, with_views
@@ -153,7 +154,7 @@ _RISK_SUM = each(
     digits=ROW_DIGITS,
 )
 def _(spark, path):
-    base = feature_table(spark, path).persist()
+    base = settled(feature_table(spark, path))
     scale = engineered.fit_risk_scale(base, _RISK)
     return engineered.composite_delay_risk(base, scale).select(*_ID_COLS, "composite_delay_risk_score")
 
@@ -228,7 +229,7 @@ def _(spark, path):
 
 
 def engineered_table(spark, path):
-    return engineered.engineer_all(feature_table(spark, path).persist(), SUGGESTED, "high")
+    return engineered.engineer_all(settled(feature_table(spark, path)), SUGGESTED, "high")
 
 
 _NEW = [
@@ -290,7 +291,7 @@ _NUM = list(K.NUMERIC_FEATURES)
     digits=ROW_DIGITS,
 )
 def _(spark, path):
-    base = feature_table(spark, path).select("route", "OP_CARRIER", *_NUM).persist()
+    base = settled(feature_table(spark, path).select("route", "OP_CARRIER", *_NUM))
     return features.standardize(base, _NUM)
 
 
@@ -304,7 +305,7 @@ def _(spark, path):
     ),
 )
 def _(spark, path):
-    base = feature_table(spark, path).select("ORIGIN", "OP_CARRIER", "route").persist()
+    base = settled(feature_table(spark, path).select("ORIGIN", "OP_CARRIER", "route"))
     return features.label_encode(base, ["ORIGIN", "OP_CARRIER", "route"])
 
 
@@ -327,7 +328,7 @@ def _(spark, path):
 def _(spark, path):
     from pyspark.ml.functions import vector_to_array
 
-    base = feature_table(spark, path).select("OP_CARRIER", "ORIGIN").persist()
+    base = settled(feature_table(spark, path).select("OP_CARRIER", "ORIGIN"))
     hot = features.one_hot_encode(base, ["OP_CARRIER", "ORIGIN"])
     return hot.select(
         "OP_CARRIER", "ORIGIN", vector_to_array("OP_CARRIER_hot").alias("carrier_slots"),

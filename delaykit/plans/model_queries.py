@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from delaykit import constants as K
 from delaykit.operators import engineered, features, models, scoring, splitting
+from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.feature_queries import SUGGESTED, engineered_table, feature_table
 from delaykit.plans.flight_queries import FLIGHT, clean, enriched, lookups, route_table
@@ -42,7 +43,7 @@ _METRICS = """count(*) AS n, avg(abs(DEP_DELAY - predicted)) AS mae,
 
 
 def _split(spark, path):
-    both = splitting.temporal_split(clean(spark, path)).persist()
+    both = settled(splitting.temporal_split(clean(spark, path)))
     return both.filter("split = 'train'").drop("split"), both.filter("split = 'test'").drop("split")
 
 
@@ -273,13 +274,13 @@ def _(spark, path):
     with_views(
         "keyed",
         f"""SELECT history_key, {_r1('p')} AS predicted_delay, {_r1('h')} AS confidence_mae, {_r1('p - h')} AS lower_bound,
-          {_r1('p + h')} AS upper_bound FROM (SELECT history_key, greatest(0.0E0, predicted_delay / 3.0E0 - 10) AS p, 7.3E0 AS h FROM keyed) t""",
+          {_r1('p + h')} AS upper_bound FROM (SELECT history_key, greatest(0.0E0, sqrt(predicted_delay) - 3) AS p, 7.3E0 AS h FROM keyed) t""",
     ),
     ["predicted_delay", "lower_bound", "upper_bound"],
 )
 def _(spark, path):
     shifted = _points(spark, path).withColumns(
-        {"predicted_delay": F.col("predicted_delay") / 3 - 10, "confidence_mae": F.lit(7.3)}
+        {"predicted_delay": F.sqrt("predicted_delay") - 3, "confidence_mae": F.lit(7.3)}
     )
     return scoring.confidence_band_unclamped(shifted)
 
@@ -289,12 +290,12 @@ def _(spark, path):
 
 def _training_parts(spark, path):
     """Features split by date; encodings fitted on the training part only."""
-    both = splitting.temporal_split(enriched(spark, path)).persist()
+    both = settled(splitting.temporal_split(settled(enriched(spark, path))))
     train = both.filter("split = 'train'")
     table = features.training_features(both, fit_on=train, keep=["split"])
     # A key the training part never had gets its overall mean delay.
     overall = train.agg(F.avg("DEP_DELAY")).scalar()
-    table = table.withColumns({c: F.coalesce(F.col(c), overall) for c in K.ENCODINGS}).persist()
+    table = settled(table.withColumns({c: F.coalesce(F.col(c), overall) for c in K.ENCODINGS}))
     return table.filter("split = 'train'").drop("split"), table.filter("split = 'test'").drop("split")
 
 
@@ -334,7 +335,7 @@ def airport_model(spark, path):
     table = report(spark, path).select(
         *K.AIRPORT_MODEL_NUMERIC, *K.AIRPORT_MODEL_CATEGORICAL, "avg_delay_minutes"
     )
-    parts = splitting.stratified_split(table, "airport").persist()
+    parts = settled(splitting.stratified_split(settled(table), "airport"))
     pipeline = models.pipeline(
         models.forest("airport_month", **SMALL_FOREST, **AIRPORT),
         K.AIRPORT_MODEL_NUMERIC, K.AIRPORT_MODEL_CATEGORICAL,
@@ -363,7 +364,7 @@ def _(spark, path):
 
 @query("score_batch_model")
 def _(spark, path):
-    table = feature_table(spark, path).persist()
+    table = settled(feature_table(spark, path))
     model = models.pipeline(models.linear(), models.FLIGHT_NUMERIC, ()).fit(table)
     return scoring.score_batch(
         data.requests(spark, path), *lookups(spark, path), route_table(spark, path), scorer=model
@@ -372,7 +373,7 @@ def _(spark, path):
 
 @query("cv_mae_model")
 def _(spark, path):
-    table = feature_table(spark, path).persist()
+    table = settled(feature_table(spark, path))
     return models.cross_validated_mae(models.pipeline(models.linear(), models.FLIGHT_NUMERIC, ()), table)
 
 
@@ -389,7 +390,7 @@ def _(spark, path):
     built = engineered_table(spark, path)
     numeric, _ = select_numeric(built)
     plain = [c for c in numeric if c in K.FEATURES]
-    parts = splitting.random_split(built.select(*numeric, "DEP_DELAY")).persist()
+    parts = settled(splitting.random_split(settled(built.select(*numeric, "DEP_DELAY"))))
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     _, metrics = models.train_and_evaluate(
         {

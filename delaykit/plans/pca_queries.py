@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from delaykit import constants as K
 from delaykit.operators import features, pca, suggestions
+from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import query
 from delaykit.plans.feature_queries import feature_table
 from delaykit.plans.views import with_views
@@ -18,7 +19,7 @@ def components(spark, path) -> pca.Components:
     """Fitted once per session and table: the result is columns by columns."""
     key = (spark.sparkContext.applicationId, path)
     if key not in _fitted:
-        _fitted[key] = pca.pca_fit(feature_table(spark, path).select(*NUMERIC).persist(), NUMERIC)
+        _fitted[key] = pca.pca_fit(settled(feature_table(spark, path).select(*NUMERIC)), NUMERIC)
     return _fitted[key]
 
 
@@ -50,7 +51,7 @@ def _(spark, path):
 
 @query("pca_report")
 def _(spark, path):
-    table = feature_table(spark, path).persist()
+    table = settled(feature_table(spark, path))
     encoder = features.fit_preprocessor(table, NUMERIC, K.CATEGORICAL_FEATURES)
     return pca.pca_report(encoder.transform(table))
 
