@@ -20,14 +20,12 @@ from delaykit.plans import CATALOG  # noqa: E402
 from delaykit.session import local_session  # noqa: E402
 
 HEADLINE = (
-    "clean_flights", "clean_delay_cause", "airport_summary", "carrier_summary", "monthly_trends",
-    "airport_lookup", "carrier_airport_month_lookup", "dataset_kpis", "flight_lookup_mode",
-    "enrich_origin_dest", "target_encode_join", "lookup_enrich_default", "expected_delay_grid",
-    "training_features", "serving_features", "availability_features", "composite_delay_risk",
-    "correlation_matrix", "factor_significance", "anova_by_carrier", "top_bottom_ttest",
-    "delay_distribution", "temporal_split", "stratified_sample", "regression_metrics", "cv_mae",
+    "clean_delay_cause", "airport_summary", "monthly_trends", "carrier_airport_month_lookup",
+    "dataset_kpis", "flight_lookup_mode", "enrich_origin_dest", "target_encode_join",
+    "lookup_enrich_default", "expected_delay_grid", "training_features", "serving_features",
+    "correlation_matrix", "anova_by_carrier", "delay_distribution", "temporal_split", "cv_mae",
     "density_histogram_50", "score_batch", "score_gated", "history_dedup",
-    "extract_flight_mentions", "extract_route", "flatten_itineraries", "pca_fit", "train_linear",
+    "extract_flight_mentions", "pca_fit",
 )
 
 
