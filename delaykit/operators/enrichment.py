@@ -62,13 +62,18 @@ def encoding_table(flights: DataFrame, fit_on: DataFrame | None = None) -> DataF
     return table
 
 
-def target_encode_join(flights: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+def target_encode_join(
+    flights: DataFrame, fit_on: DataFrame | None = None, base: DataFrame | None = None
+) -> DataFrame:
     """Group mean delays joined back to the flights.
 
     By default the means use every flight given, as training has always done;
     pass the training part as ``fit_on`` to keep the test part out of them.
+    ``base`` is the same flights before other joins, if those need not be run to
+    count them.
     """
-    return lookup_join(flights, encoding_table(flights, fit_on), ["OP_CARRIER", "ORIGIN", "DEST"])
+    table = encoding_table(flights if base is None else base, fit_on)
+    return lookup_join(flights, table, ["OP_CARRIER", "ORIGIN", "DEST"])
 
 
 def lookup_enrich_default(

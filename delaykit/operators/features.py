@@ -44,16 +44,20 @@ def route_and_flight_key(df: DataFrame) -> DataFrame:
 
 
 def training_features(
-    flights: DataFrame, fit_on: DataFrame | None = None, keep: Sequence[str] = ()
+    flights: DataFrame, fit_on: DataFrame | None = None, keep: Sequence[str] = (),
+    base: DataFrame | None = None,
 ) -> DataFrame:
-    """The 36 features and the target of enriched, cleaned flights."""
+    """The 36 features and the target of enriched, cleaned flights.
+
+    ``base`` may give the same flights before enrichment, to count them from.
+    """
     dated = (
         flights.na.drop(subset=["FL_DATE"])
         .transform(temporal_features)
         .transform(route_and_flight_key)
     )
     return (
-        target_encode_join(dated, fit_on)
+        target_encode_join(dated, fit_on, None if base is None else base.na.drop(subset=["FL_DATE"]))
         .transform(fill_missing_features)
         .select(*K.FEATURES, F.col("DEP_DELAY").cast("double").alias("DEP_DELAY"), *keep)
     )

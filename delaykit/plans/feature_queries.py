@@ -8,7 +8,7 @@ from delaykit import constants as K
 from delaykit.operators import engineered, features
 from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import ROW_DIGITS, query
-from delaykit.plans.flight_queries import enriched, lookups, route_table
+from delaykit.plans.flight_queries import clean, enriched, lookups, route_table
 from delaykit.plans.views import each, with_views
 from delaykit.sources import testdata as data
 
@@ -17,7 +17,7 @@ _DOUBLES = ["DISTANCE", *K.ENCODINGS, *K.HISTORY_ORIGIN, *K.HISTORY_DEST]
 
 
 def feature_table(spark, path):
-    return features.training_features(enriched(spark, path))
+    return features.training_features(enriched(spark, path), base=clean(spark, path))
 
 
 @query("training_features", with_views("feat", f"SELECT {_FEATURES}, DEP_DELAY FROM feat"), [*_DOUBLES, "DEP_DELAY"], digits=ROW_DIGITS)
