@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaykit.llm import token_counts
+from delaykit.llm import pieces, simhash, token_counts, token_files
+from delaykit.llm.shared import fresh_path, send_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -15,7 +16,11 @@ ORACLE_SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def keep(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, path: str) -> DataFrame:
+            send_code(spark)
+            return fn(spark, path)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn
@@ -27,6 +32,26 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+@register("op1_simhash_groups")
+def op1_simhash_groups(spark: SparkSession, path: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, path, "documents"))
+
+
+@register("op8_token_files")
+def op8_token_files(spark: SparkSession, path: str) -> DataFrame:
+    manifest = token_files.write_files(
+        table(spark, path, "documents"),
+        fresh_path(spark, "ids"),
+        public_tokenizers.path("word_bpe_49k.json"),
+    )
+    return token_files.read_files(manifest)
+
+
+@register("op9_pieces")
+def op9_pieces(spark: SparkSession, path: str) -> DataFrame:
+    return pieces.round_trip(table(spark, path, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @register("op10_token_counts")
 def op10_token_counts(spark: SparkSession, path: str) -> DataFrame:
     return token_counts.count_tokens(

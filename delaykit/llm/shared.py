@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@lru_cache(maxsize=1)
+def _archive() -> str:
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="delaykit-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    return str(path)
+
+
+def send_code(spark: SparkSession) -> None:
+    """Lets the executors' Python import this package; Spark sends the file to each."""
+    spark.sparkContext.addPyFile(_archive())
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; runs never write over each other."""
     return f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}/{name}"
