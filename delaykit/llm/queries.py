@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaykit.llm import pieces, simhash, token_counts, token_files
+from delaykit.llm import pieces, rules, simhash, token_counts, token_files
 from delaykit.llm.shared import fresh_path, send_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,63 @@ def op1_simhash_groups(spark: SparkSession, path: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, path, "documents"))
 
 
+OP4_SQL = r"""
+WITH d AS (
+    SELECT doc_id, source, coalesce(text, '') AS t,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)
+), twice AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n
+    FROM twice CROSS JOIN (VALUES (0), (1), (2)) AS place(k) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d
+), m AS (
+    SELECT doc_id, source, len(ws)::BIGINT AS n_words,
+        length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+        coalesce(n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines
+    FROM d JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+), f AS (
+    SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
+        unnest([
+            {'rule': 'short', 'failed': n_words < 50},
+            {'rule': 'repeats', 'failed': n_repeat_words * 100 > n_words * 50},
+            {'rule': 'symbols', 'failed': n_symbols * 100 > word_chars * 10},
+            {'rule': 'lines', 'failed': n_dup_lines * 100 > n_lines * 30}
+        ], recursive := true)
+    FROM m
+), hosts AS (
+    SELECT source, rule, count(*) AS n, sum(failed::INT) AS x FROM f WHERE source IS NOT NULL GROUP BY ALL
+), prior AS (
+    SELECT rule, sum(x) / sum(n) AS mean, sum(x * x / n) / sum(n) - (sum(x) / sum(n)) ** 2
+        - (sum(x) / sum(n)) * (1 - sum(x) / sum(n)) * (count(*) - 1) / sum(n) AS spread
+    FROM hosts GROUP BY rule
+), weighed AS (
+    SELECT rule, mean, CASE WHEN spread > 1e-12
+        THEN least(greatest(mean * (1 - mean) / spread - 1, 1), 1e6) ELSE 1e6 END AS weight
+    FROM prior
+), bad AS (
+    SELECT DISTINCT source FROM hosts JOIN weighed USING (rule) WHERE (x + mean * weight) / (n + weight) > 0.5
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
+    NOT (n_words < 50 OR n_repeat_words * 100 > n_words * 50)
+        AND (source NOT IN (SELECT source FROM bad)) IS NOT FALSE AS kept
+FROM m
+"""
+
+
+@register("op4_host_rules", OP4_SQL)
+def op4_host_rules(spark: SparkSession, path: str) -> DataFrame:
+    return rules.host_rules(table(spark, path, "documents"))
+
+
 @register("op8_token_files")
 def op8_token_files(spark: SparkSession, path: str) -> DataFrame:
     manifest = token_files.write_files(
