@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaykit.llm import pieces, rules, simhash, token_counts, token_files
+from delaykit.llm import (
+    mixing,
+    pieces,
+    quality,
+    rules,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from delaykit.llm.shared import fresh_path, send_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +47,11 @@ def op1_simhash_groups(spark: SparkSession, path: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, path, "documents"))
 
 
+@register("op2_mixed_sources")
+def op2_mixed_sources(spark: SparkSession, path: str) -> DataFrame:
+    return mixing.mix(table(spark, path, "documents"), max_epochs=2.0)
+
+
 OP4_SQL = r"""
 WITH d AS (
     SELECT doc_id, source, coalesce(text, '') AS t,
@@ -94,6 +109,21 @@ def op4_host_rules(spark: SparkSession, path: str) -> DataFrame:
     return rules.host_rules(table(spark, path, "documents"))
 
 
+@register("op5_quality_scores")
+def op5_quality_scores(spark: SparkSession, path: str) -> DataFrame:
+    return quality.score_documents(table(spark, path, "documents"), table(spark, path, "labels"))
+
+
+@register("op6_toxicity_scores")
+def op6_toxicity_scores(spark: SparkSession, path: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, path, "documents"), table(spark, path, "labels"))
+
+
+@register("op7_balanced_shards")
+def op7_balanced_shards(spark: SparkSession, path: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, path, "documents"))
+
+
 @register("op8_token_files")
 def op8_token_files(spark: SparkSession, path: str) -> DataFrame:
     manifest = token_files.write_files(
