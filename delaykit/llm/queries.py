@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from delaykit.llm import (
+    ann,
     mixing,
     pieces,
     quality,
@@ -52,6 +53,12 @@ def op2_mixed_sources(spark: SparkSession, path: str) -> DataFrame:
     return mixing.mix(table(spark, path, "documents"), max_epochs=2.0)
 
 
+@register("op3_nearest_vectors")
+def op3_nearest_vectors(spark: SparkSession, path: str) -> DataFrame:
+    rows = table(spark, path, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 50 = 0"))
+
+
 OP4_SQL = r"""
 WITH d AS (
     SELECT doc_id, source, coalesce(text, '') AS t,
