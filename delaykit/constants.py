@@ -134,6 +134,7 @@ STATUS_WORDS = (
 SOURCE_FOUND, SOURCE_NONE = "google_flights", "google_flights_no_results"
 NO_FLIGHTS = "No flights found for this route on this date"
 AVAILABLE_PREFIX = "Prediction based on available data: "
+FAILED_MESSAGE = "Prediction failed: an input of the model is missing"
 UNKNOWN_MESSAGE = (
     "No historical data found for carrier %s, origin %s, or destination %s. "
     "Cannot generate prediction."

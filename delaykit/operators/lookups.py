@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaykit.session import shared_root
+
 # A broadcast table is held whole by every executor, so its row count is
 # measured before it is used that way.
 BROADCAST_ROWS = 200_000
@@ -22,8 +23,7 @@ def settled(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="delaykit-"))
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
 
 

@@ -5,7 +5,10 @@ A scorer is a column over the feature table, or a fitted pipeline.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +35,26 @@ def cause_mix_scorer() -> Column:
     return F.coalesce(F.try_divide(numbers.row_sum(weighted), numbers.row_sum(rates)), F.lit(0.0))
 
 
+def model_inputs(model: PipelineModel, features: DataFrame) -> list[str]:
+    """The numeric columns of ``features`` that a fitted pipeline reads."""
+    read = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    return [c for c in read if c in features.columns]
+
+
 def _predicted(features: DataFrame, scorer: Scorer) -> DataFrame:
-    if isinstance(scorer, PipelineModel):
-        out = scorer.transform(features)
-        return out.select(*features.columns, F.col("prediction").alias("_p"))
-    return features.withColumn("_p", scorer)
+    """The features with ``_p``, null where the scorer lacks one of its inputs."""
+    if not isinstance(scorer, PipelineModel):
+        return features.withColumn("_p", scorer)
+    inputs = model_inputs(scorer, features)
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in inputs], F.lit(True))
+    # A model ends the job at the first null: it sees zeros there and its answer is dropped.
+    filled = features.select(
+        F.struct(*features.columns).alias("_row"),
+        complete.alias("_complete"),
+        *[F.coalesce(c, F.lit(0).cast(features.schema[c].dataType)).alias(c) if c in inputs else F.col(c) for c in features.columns],
+    )
+    answered = scorer.transform(filled)
+    return answered.select("_row.*", F.when(F.col("_complete"), F.col("prediction")).alias("_p"))
 
 
 def _one_digit(col: Column) -> Column:
@@ -47,13 +65,17 @@ def score_batch(
     requests: DataFrame, airport: DataFrame, carrier: DataFrame, routes: DataFrame | None = None,
     scorer: Scorer | None = None, mae: float = K.DEFAULT_MAE,
 ) -> DataFrame:
-    """Prediction, unclamped band and context of every request, to one digit."""
+    """Prediction, unclamped band and context of every request, to one digit.
+
+    ``mae`` is the error that the scorer was measured with; a request that lacks an input
+    of the scorer has no prediction and no band.
+    """
     features = serving_features(requests, airport, carrier, routes)
     point = _predicted(features, scorer if scorer is not None else scenario_scorer()).withColumn(
-        "_p", F.greatest(F.lit(0.0), F.col("_p"))
+        "_p", F.when(F.col("_p").isNotNull(), F.greatest(F.lit(0.0), F.col("_p")))
     )
     passed = [c for c in requests.columns if c not in ("carrier", "origin", "dest", "dep_hour")]
-    half = F.lit(float(mae))
+    half = F.when(F.col("_p").isNotNull(), F.lit(float(mae)))
     return point.select(
         *passed,
         "dep_hour",
@@ -76,12 +98,17 @@ def score_gated(
     requests: DataFrame, airport: DataFrame, carrier: DataFrame,
     scorer: Scorer | None = None, mae: float = K.GATED_MAE,
 ) -> DataFrame:
-    """Prediction only where some lookup knows the request, with what it rests on."""
+    """Prediction only where some lookup knows the request, with what it rests on.
+
+    ``mae`` is the error that the scorer was measured with. A known request that lacks an
+    input of the scorer gets the row of a failed prediction.
+    """
     features = availability_features(requests, airport, carrier)
     point = _predicted(features, scorer if scorer is not None else cause_mix_scorer())
     known = F.col("has_carrier") | F.col("has_origin") | F.col("has_dest")
     half = F.lit(float(mae))
     p = F.col("_p")
+    answered = known & p.isNotNull()
     parts = F.concat_ws(
         ", ",
         *[F.when(F.col(f"has_{part}"), part) for part in ("carrier", "origin", "dest")],
@@ -97,15 +124,16 @@ def score_gated(
     }
     return point.select(
         *requests.columns,
-        *[F.when(known, c).alias(n) for n, c in shown.items()],
+        *[F.when(answered, c).alias(n) for n, c in shown.items()],
         F.struct(
             F.col("has_carrier").alias("carrier"),
             F.col("has_origin").alias("origin"),
             F.col("has_dest").alias("dest"),
         ).alias("data_availability"),
         F.lit(False).alias("using_fallback_data"),
-        known.alias("prediction_available"),
-        F.when(known, F.concat(F.lit(K.AVAILABLE_PREFIX), parts))
+        answered.alias("prediction_available"),
+        F.when(answered, F.concat(F.lit(K.AVAILABLE_PREFIX), parts))
+        .when(known, F.lit(K.FAILED_MESSAGE))
         .otherwise(F.format_string(K.UNKNOWN_MESSAGE, "carrier", "origin", "dest"))
         .alias("message"),
     )

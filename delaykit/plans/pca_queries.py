@@ -12,15 +12,9 @@ from pyspark.sql import functions as F
 
 NUMERIC = list(K.NUMERIC_FEATURES + K.HISTORY_ORIGIN + K.HISTORY_DEST)
 
-_fitted: dict[tuple[str, str], pca.Components] = {}
-
 
 def components(spark, path) -> pca.Components:
-    """Fitted once per session and table: the result is columns by columns."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _fitted:
-        _fitted[key] = pca.pca_fit(settled(feature_table(spark, path).select(*NUMERIC)), NUMERIC)
-    return _fitted[key]
+    return pca.pca_fit(feature_table(spark, path).select(*NUMERIC), NUMERIC)
 
 
 def loadings(spark, path):

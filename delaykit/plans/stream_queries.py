@@ -22,14 +22,21 @@ def _(spark, path):
     return spark.read.parquet(f"{folder}/out")
 
 
+# Which of two equal keys in a batch stays is open; these columns follow from the key.
+_KEYED = [
+    "history_key", "flight_number", "airline_code", "origin", "destination", "flight_date", "departure_hour",
+    "confidence_mae",
+]
+
+
 @query(
     "stream_history_dedup",
-    with_views("keyed", "SELECT DISTINCT history_key FROM keyed"),
+    with_views("keyed", f"SELECT DISTINCT {', '.join(_KEYED)} FROM keyed"),
 )
 def _(spark, path):
     events = parquet_stream(spark, path, "events")
     folder = shared_folder(spark, "history")
-    # Longer than the table's span, so one entry is left per key.
-    unique = stream_history_dedup(data.history(spark, path, events), "60 days")
+    # A key holds its date, so equal keys are less than a day apart.
+    unique = stream_history_dedup(data.history(spark, path, events), "1 day")
     start(unique, f"{folder}/out", f"{folder}/state").awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select("history_key")
+    return spark.read.parquet(f"{folder}/out").select(*_KEYED)

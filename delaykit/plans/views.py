@@ -249,7 +249,8 @@ SELECT ts AS timestamp, upper(substr(event_type, 1, 2)) || CAST(user_id AS VARCH
 FROM events
 """
 HIST_KEYED = """
-SELECT *, concat_ws('_', flight_number, origin, destination, CAST(departure_hour AS VARCHAR)) AS history_key
+SELECT *, flight_number || '_' || origin || '_' || destination || '_'
+  || strftime(flight_date, '%Y-%m-%d') || '_' || CAST(departure_hour AS VARCHAR) AS history_key
 FROM history
 """
 

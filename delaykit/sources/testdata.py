@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaykit import constants as K
+from delaykit.operators.history import with_history_key
 
 HUBS = ("A03", "A07", "A11", "A15")
 NOW = "2024-01-31 00:00:00"
@@ -149,7 +150,7 @@ def history(spark: SparkSession, path: str, events: DataFrame | None = None) ->
     flight = F.concat(code, user.cast("string"))
     origin, dest = _airport(user % 25), _airport((user + 7) % 25)
     date = F.col("ts").cast("date")
-    return e.select(
+    past = e.select(
         F.col("ts").alias("timestamp"),
         flight.alias("flight_number"),
         code.alias("airline_code"),
@@ -159,8 +160,8 @@ def history(spark: SparkSession, path: str, events: DataFrame | None = None) ->
         hour.alias("departure_hour"),
         F.col("value").alias("predicted_delay"),
         F.lit(K.DEFAULT_MAE).alias("confidence_mae"),
-        F.concat_ws("_", flight, origin, dest, hour.cast("string")).alias("history_key"),
     )
+    return with_history_key(past)
 
 
 def _letters(airport: Column) -> Column:

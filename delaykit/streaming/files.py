@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from delaykit.session import shared_root
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's checkpoint folder.
 
-    Only a session without that setting, as in tests, gets a local one.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="delaykit-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the folder that the whole cluster shares."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def parquet_stream(spark: SparkSession, path: str, name: str) -> DataFrame:
