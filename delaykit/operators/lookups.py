@@ -1,4 +1,8 @@
-"""Joining a table to a keyed lookup without assuming how big the lookup is."""
+"""Joining a table to a keyed lookup, and tables that are written once.
+
+Which join runs is Spark's choice: adaptive execution broadcasts a lookup whose measured
+bytes fit and splits a hot key's rows over tasks otherwise.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +13,6 @@ from pyspark.sql import functions as F
 
 from delaykit.session import shared_root
 
-# A broadcast table is held whole by every executor, so its row count is
-# measured before it is used that way.
-BROADCAST_ROWS = 200_000
-SALTS = 32
-
 
 def settled(df: DataFrame) -> DataFrame:
     """The rows written to the session's checkpoint folder, without their history.
@@ -27,53 +26,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return lookup.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-    ready: bool = False,
-) -> DataFrame:
-    """Join ``facts`` to ``lookup`` (at most one row per key) on equal keys.
-
-    The lookup is usually an aggregate of something large, so it is settled
-    before the measurement instead of being computed again by the join; pass
-    ``ready`` when it comes from a settled table already. Within the limit the facts are not moved at all. Beyond it the join shuffles, and each
-    lookup row is repeated once per salt so that one hot key is spread over
-    ``salts`` tasks.
-    """
-    on = list(on)
-    kept = lookup if ready else settled(lookup)
-    if fits_broadcast(kept, max_rows):
-        return facts.join(F.broadcast(kept), on, how)
-    return salted_join(facts, kept, on, how, salts)
-
-
-def salted_join(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS
-) -> DataFrame:
-    on = list(on)
-    columns = facts.columns
-    extra = [c for c in lookup.columns if c not in on]
-    # The salt depends on the row's values only, so a task run again after a
-    # lost executor sends every row to the same place.
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)).cast("int")
-    left = facts.withColumn("_salt", spread)
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = left.join(right, on + ["_salt"], how)
-    if how in ("left_semi", "left_anti"):
-        return joined.select(*columns)
-    return joined.select(*columns, *extra)
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``facts`` to ``lookup`` (at most one row per key) on equal keys."""
+    return facts.join(lookup, list(on), how)
 
 
 def record_join(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[str], name: str, **options
+    facts: DataFrame, lookup: DataFrame, on: Sequence[str], name: str, how: str = "left"
 ) -> DataFrame:
     """``lookup_join`` that adds the lookup's row as one struct, null if unknown.
 
@@ -82,7 +41,7 @@ def record_join(
     """
     values = [c for c in lookup.columns if c not in on]
     packed = lookup.select(*on, F.struct(*values).alias(name))
-    return lookup_join(facts, packed, on, **options)
+    return lookup_join(facts, packed, on, how)
 
 
 def rename_all(df: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:

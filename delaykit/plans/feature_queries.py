@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from delaykit import constants as K
 from delaykit.operators import engineered, features
-from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.flight_queries import clean, enriched, lookups, route_table
 from delaykit.plans.views import each, with_views
@@ -154,7 +153,7 @@ _RISK_SUM = each(
     digits=ROW_DIGITS,
 )
 def _(spark, path):
-    base = settled(feature_table(spark, path))
+    base = feature_table(spark, path)
     scale = engineered.fit_risk_scale(base, _RISK)
     return engineered.composite_delay_risk(base, scale).select(*_ID_COLS, "composite_delay_risk_score")
 
@@ -229,7 +228,7 @@ def _(spark, path):
 
 
 def engineered_table(spark, path):
-    return engineered.engineer_all(settled(feature_table(spark, path)), SUGGESTED, "high")
+    return engineered.engineer_all(feature_table(spark, path), SUGGESTED, "high")
 
 
 _NEW = [
@@ -291,7 +290,7 @@ _NUM = list(K.NUMERIC_FEATURES)
     digits=ROW_DIGITS,
 )
 def _(spark, path):
-    base = settled(feature_table(spark, path).select("route", "OP_CARRIER", *_NUM))
+    base = feature_table(spark, path).select("route", "OP_CARRIER", *_NUM)
     return features.standardize(base, _NUM)
 
 
@@ -299,14 +298,15 @@ def _(spark, path):
     "label_encode",
     with_views(
         "feat",
-        """SELECT ORIGIN, OP_CARRIER, route, CAST(dense_rank() OVER (ORDER BY ORIGIN) - 1 AS INT) AS ORIGIN_code,
+        """SELECT ORIGIN, DEST, OP_CARRIER, route, CAST(dense_rank() OVER (ORDER BY ORIGIN) - 1 AS INT) AS ORIGIN_code,
+          CAST(dense_rank() OVER (ORDER BY DEST) - 1 AS INT) AS DEST_code,
           CAST(dense_rank() OVER (ORDER BY OP_CARRIER) - 1 AS INT) AS OP_CARRIER_code,
           CAST(dense_rank() OVER (ORDER BY route) - 1 AS INT) AS route_code FROM feat""",
     ),
 )
 def _(spark, path):
-    base = settled(feature_table(spark, path).select("ORIGIN", "OP_CARRIER", "route"))
-    return features.label_encode(base, ["ORIGIN", "OP_CARRIER", "route"])
+    base = feature_table(spark, path).select("ORIGIN", "DEST", "OP_CARRIER", "route")
+    return features.label_encode(base, ["ORIGIN", "DEST", "OP_CARRIER", "route"])
 
 
 @query(
@@ -324,13 +324,17 @@ def _(spark, path):
     return features.label_encode(base, ["OP_CARRIER"], fitted)
 
 
-@query("one_hot_encode")
+_SLOTS = ", ".join(
+    f"CAST(dense_rank() OVER (ORDER BY {c}) AS INT) AS {c}_slot" for c in ("route", "ORIGIN", "DEST", "OP_CARRIER")
+)
+
+
+@query("one_hot_encode", with_views("feat", f"SELECT route, ORIGIN, DEST, OP_CARRIER, {_SLOTS} FROM feat"))
 def _(spark, path):
     from pyspark.ml.functions import vector_to_array
 
-    base = settled(feature_table(spark, path).select("OP_CARRIER", "ORIGIN"))
-    hot = features.one_hot_encode(base, ["OP_CARRIER", "ORIGIN"])
-    return hot.select(
-        "OP_CARRIER", "ORIGIN", vector_to_array("OP_CARRIER_hot").alias("carrier_slots"),
-        vector_to_array("ORIGIN_hot").alias("origin_slots"),
-    )
+    columns = list(K.CATEGORICAL_FEATURES)
+    hot = features.one_hot_encode(feature_table(spark, path).select(*columns), columns)
+    # The place of the one in each vector; 0 for none.
+    place = [F.array_position(vector_to_array(f"{c}_hot"), 1.0).cast("int").alias(f"{c}_slot") for c in columns]
+    return hot.select(*columns, *place)

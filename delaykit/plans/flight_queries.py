@@ -8,6 +8,7 @@ from delaykit import constants as K
 from delaykit.functions import codes, labels
 from delaykit.operators import cleaning, enrichment, features, quantiles, splitting, summaries
 from delaykit.operators import history as past
+from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.report_queries import hist, history_report
 from delaykit.plans.views import HUBS, digest_sql, each, scenario, strip, timed, whole, with_views
@@ -26,7 +27,8 @@ def enriched(spark, path):
 
 
 def lookups(spark, path):
-    h = hist(spark, path)
+    # The report is summed up from the facts once, for both lookups.
+    h = settled(hist(spark, path))
     return summaries.airport_lookup(h), summaries.carrier_lookup(h)
 
 
