@@ -25,7 +25,10 @@ HEADLINE = (
     "lookup_enrich_default", "expected_delay_grid", "training_features", "serving_features",
     "correlation_matrix", "anova_by_carrier", "delay_distribution", "temporal_split", "cv_mae",
     "density_histogram_50", "score_batch", "score_gated", "history_dedup",
-    "extract_flight_mentions", "pca_fit",
+    "extract_flight_mentions", "pca_fit", "clean_flights", "carrier_summary", "airport_lookup",
+    "availability_features", "composite_delay_risk", "factor_significance", "top_bottom_ttest",
+    "stratified_sample", "regression_metrics", "extract_route", "flatten_itineraries", "train_linear",
+    "train_airport_forest",
 )
 
 

@@ -1,8 +1,8 @@
 """Models, their evaluation, and scoring.
 
 Every model runs with the published settings of ``operators.models`` and all of its
-inputs. Tree models are fitted to at most ``MAX_FIT_ROWS`` training rows and always
-measured on the whole test part.
+inputs. Tree models are fitted to at most ``MAX_FIT_ROWS`` training rows (unbounded ones
+``MAX_DEEP_ROWS``) and always measured on the whole test part.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from delaykit.plans.views import digest_sql, scenario, with_views
 from delaykit.sources import testdata as data
 
 # The bound of labelled rows for a fit: those with the smallest hashes of their values.
-MAX_FIT_ROWS = 1_000
+# Unbounded trees keep counts for about every row of every tree, so theirs is smaller.
+MAX_FIT_ROWS, MAX_DEEP_ROWS = 1_000, 500
 
 
 def bounded(train, rows=MAX_FIT_ROWS):
@@ -305,10 +306,10 @@ def _training_parts(spark, path):
     return table.filter("split = 'train'").drop("split"), table.filter("split = 'test'").drop("split")
 
 
-def _measured(name, estimator, spark, path, weight=False):
+def _measured(name, estimator, spark, path, weight=False, rows=MAX_FIT_ROWS):
     train, test = _training_parts(spark, path)
     if not isinstance(estimator, LinearRegression):
-        train = settled(bounded(train))
+        train = settled(bounded(train, rows))
     if weight:
         train = models.with_weights(train)
     _, metrics = models.train_and_evaluate({name: models.pipeline(estimator)}, train, test)
@@ -322,7 +323,7 @@ def _(spark, path):
 
 @query("train_forest")
 def _(spark, path):
-    return _measured("random_forest", models.forest("flights"), spark, path)
+    return _measured("random_forest", models.forest("flights"), spark, path, rows=MAX_DEEP_ROWS)
 
 
 @query("train_gbt")
@@ -410,7 +411,7 @@ def _(spark, path):
     numeric, _ = select_numeric(built)
     plain = [c for c in numeric if c in K.FEATURES]
     parts = settled(splitting.random_split(settled(built.select(*numeric, "DEP_DELAY"))))
-    train, test = settled(bounded(parts.filter("split = 'train'"))), parts.filter("split = 'test'")
+    train, test = settled(bounded(parts.filter("split = 'train'"), MAX_DEEP_ROWS)), parts.filter("split = 'test'")
     _, metrics = models.train_and_evaluate(
         {
             "plain": models.pipeline(models.forest("engineered"), plain, ()),
