@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -14,12 +13,15 @@ class Lookups(NamedTuple):
     route: DataFrame | None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file system of ``path`` has it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def load_lookups(spark: SparkSession, path: str) -> Lookups:
     """Airport and carrier history are needed, the route table is optional."""
     airport = spark.read.parquet(f"{path}/lookup_airport")
     carrier = spark.read.parquet(f"{path}/lookup_carrier")
-    try:
-        route = spark.read.parquet(f"{path}/flight_lookup")
-    except AnalysisException:
-        route = None
-    return Lookups(airport, carrier, route)
+    routes = f"{path}/flight_lookup"
+    return Lookups(airport, carrier, spark.read.parquet(routes) if exists(spark, routes) else None)
