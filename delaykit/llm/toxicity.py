@@ -30,8 +30,9 @@ THRESHOLD = 0.3
 # Bounds of what is learned: labelled documents of each class, terms, phrases.
 MAX_LABELLED, MAX_TERMS, MAX_PHRASES = 5_000, 5_000, 2_000
 BEGINNINGS = (4, 5, 6)
-# How sure a term must be: of its log ratio less so many standard errors, what must remain.
-SURENESS, LEAST_SURE = 3.0, 1.0
+# What a term needs: its log ratio, and the deviance (twice the log likelihood ratio) of its
+# classes from those of all documents, which chance alone exceeds once in 20 million.
+LEAST_RATIO, LEAST_DEVIANCE = 3.0, 30.0
 # A beginning is kept only if no single word makes up this share of its documents.
 ONE_WORD = 0.8
 
@@ -145,8 +146,10 @@ def _log_ratio(more: Column, n_more: int, less: Column, n_less: int) -> Column:
     return F.log((more + 0.5) / (n_more + 1)) - F.log((less + 0.5) / (n_less + 1))
 
 
-def _sure(weight: Column, more: Column, less: Column) -> Column:
-    return weight - SURENESS * F.sqrt(1 / (more + 0.5) + 1 / (less + 0.5)) >= LEAST_SURE
+def _sure(weight: Column, more: Column, less: Column, share: float) -> Column:
+    n = more + less
+    part = lambda k, p: F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
+    return (weight >= LEAST_RATIO) & (2 * (part(more, share) + part(less, 1 - share)) >= LEAST_DEVIANCE)
 
 
 def _counted(rows: DataFrame, of) -> DataFrame:
@@ -184,13 +187,13 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         return Lexicon(())
     toxic, clean = F.col("toxic"), F.col("clean")
     counted = _counted(rows, terms_of).withColumn("weight", _log_ratio(toxic, n_toxic, clean, n_clean))
-    sure = counted.where(_sure(F.col("weight"), toxic, clean))
+    sure = counted.where(_sure(F.col("weight"), toxic, clean, n_toxic / (n_toxic + n_clean)))
     best = sure.orderBy(F.desc("weight"), "term").limit(MAX_TERMS).collect()
     lexicon = Lexicon(tuple(_drop_covered([(r["term"], r["toxic"], r["weight"]) for r in best])))
     # Harmless phrases: around a hit, and far more frequent in clean documents.
     around = _counted(rows, lambda t: phrases_of(t, lexicon))
     around = around.withColumn("weight", _log_ratio(clean, n_clean, toxic, n_toxic))
-    phrases = around.where(_sure(F.col("weight"), clean, toxic))
+    phrases = around.where(_sure(F.col("weight"), clean, toxic, n_clean / (n_toxic + n_clean)))
     best = phrases.orderBy(F.desc("weight"), "term").limit(MAX_PHRASES).collect()
     return lexicon._replace(phrases=tuple(r["term"] for r in best))
 
