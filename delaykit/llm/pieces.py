@@ -10,6 +10,7 @@ the text, so that decoding gives the text back.
 from __future__ import annotations
 
 import re
+import struct
 from collections import deque
 from functools import lru_cache
 from typing import NamedTuple
@@ -26,6 +27,7 @@ from delaykit.llm.shared import texts_of
 MARK = "▁"
 # Fixed value: what an unknown character costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
+NEVER = float("-inf")
 
 
 class Vocabulary(NamedTuple):
@@ -108,7 +110,7 @@ class PieceCoder:
             self.parts = re.compile(r"(?s).+")
         else:
             self.parts = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-        self.memo = WordMemo(self.part)
+        self.memo = WordMemo(self.part, 300_000)
         first = vocabulary.first_byte
         self.byte_ids = range(first, first + 256) if first >= 0 else range(0)
         self.written = [
@@ -121,7 +123,7 @@ class PieceCoder:
         base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.scores
         data = part.encode()
         end = len(data)
-        best: list[float | None] = [None] * (end + 1)
+        best = [NEVER] * (end + 1)
         back: list[tuple[int, int]] = [(0, -1)] * (end + 1)
         best[0] = 0.0
         at = 0
@@ -139,12 +141,14 @@ class PieceCoder:
                 if match >= 0:
                     covered = covered or stop - at == width
                     total = here + scores[match]
-                    if best[stop] is None or total > best[stop]:
-                        best[stop], back[stop] = total, (at, match)
+                    if total > best[stop]:
+                        best[stop] = total
+                        back[stop] = (at, match)
             if not covered:
                 stop, total = at + width, here + self.unknown_score
-                if best[stop] is None or total > best[stop]:
-                    best[stop], back[stop] = total, (at, -1)
+                if total > best[stop]:
+                    best[stop] = total
+                    back[stop] = (at, -1)
             at += width
         ids: list[int] = []
         while at > 0:
@@ -156,7 +160,7 @@ class PieceCoder:
             else:
                 ids.append(self.vocabulary.unknown)
             at = start
-        return np.array(ids[::-1], dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *reversed(ids))
 
     def encode(self, text: str) -> bytes:
         if not text:
