@@ -12,6 +12,8 @@ second segment, the other the reverse. Pairs with a common key are compared in t
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -30,17 +32,21 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLOCK = 1 << 14
 
 
-def fingerprint(text: str, words: int = 3) -> int:
-    """Bits set in more than half of the hashes of a text's shingles; no words give 0."""
+def word_shingles(text: str, words: int) -> Iterable[bytes]:
+    """Runs of ``words`` words in lower case; a shorter text is one, no words give none."""
     # Splitting bytes parts them at \x20 and \x09 to \x0D only.
     found = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not found:
-        return 0
-    shingles = [b" ".join(found)]
     if len(found) > words:
-        shingles = map(b" ".join, zip(*(found[i:] for i in range(words))))
+        return map(b" ".join, zip(*(found[i:] for i in range(words))))
+    return [b" ".join(found)] if found else []
+
+
+def fingerprint(text: str, words: int = 3) -> int:
+    """Bits set in more than half of the hashes of a text's shingles; no words give 0."""
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype="<u8")
+    hashes = np.fromiter((digest(s, SEED) for s in word_shingles(text, words)), dtype="<u8")
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), _BLOCK):
         block = hashes[at : at + _BLOCK].view(np.uint8).reshape(-1, 8)
@@ -159,7 +165,11 @@ def keep_one(
     The row with the smallest id stays, null ids last; of several rows with that id the one
     with the smallest text hash, and of equal rows any one.
     """
-    rows = _grouped(df, id_col, text_col, words, max_bits)
+    return keep_first(df, _grouped(df, id_col, text_col, words, max_bits), id_col, text_col)
+
+
+def keep_first(df: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` that come first in each component of ``rows`` (``id``, ``text_hash``, ``component``)."""
     first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("text_hash"))).alias("first")
     kept = rows.groupBy("component").agg(first)
     kept = kept.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_text_hash"))
