@@ -1,9 +1,10 @@
 """Balanced label propagation: documents to shards of equal size with few cut links.
 
-Documents with equal texts are linked. Every linked document takes part of a shard at
-first; in each round, the documents of a group that lie in a smaller part move to the
-largest part of their group that has room. A shard admits no more than its quota. When
-nothing moves any more, documents without links fill up each shard, so that the counts
+Documents with equal texts are linked. Groups start in a row that the shards
+cut, so nearly all start whole; in each round,
+the documents of a group that lie in a smaller part move to the largest part of their
+group. A shard admits as many as it has room for and as leave it in the same round, so
+full shards exchange documents. When nothing moves any more, documents without links fill up each shard, so that the counts
 differ by one at most.
 
 The state of a round is one row per group and shard that it touches, with a count: linked
@@ -20,32 +21,92 @@ from delaykit.llm.ranks import ranked, running_sums
 from delaykit.llm.shared import stored
 
 SHARDS = 24
-MAX_ROUNDS = 40
+# Turns in a row without a move, each with other ties, after which nothing moves any more.
+QUIET_TURNS = 4
 
 
-def _first_parts(linked: DataFrame, shards: int) -> DataFrame:
-    """Every linked document in a shard by the hash of its id, counted by group and shard."""
-    label = F.pmod(F.xxhash64("g1", "g2", "id"), F.lit(shards)).cast("int")
-    return linked.groupBy("g1", "g2", label.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+def _first_parts(groups: DataFrame, shards: int) -> DataFrame:
+    """Groups one after another in a row that is cut into equal shards, so that each cut splits one at most."""
+    n_groups, n_linked = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("members"), F.lit(0))).first()
+    placed = running_sums(groups, [], ["g1", "g2"], F.col("members"), "ahead", n_groups)
+    end, spans = 0, []
+    for s in range(shards):
+        n = n_linked // shards + (s < n_linked % shards)
+        spans.append(F.struct(F.lit(s).alias("shard"), F.lit(end).alias("low"), F.lit(end + n).alias("high")))
+        end += n
+    each = placed.withColumn("span", F.explode(F.array(*spans)))
+    n = F.least(F.col("ahead") + F.col("members"), F.col("span.high")) - F.greatest(F.col("ahead"), F.col("span.low"))
+    return each.select("g1", "g2", "span.shard", n.cast("long").alias("n")).where("n > 0")
 
 
-def _round(parts: DataFrame, room: dict[int, int], groups: int) -> DataFrame:
-    """One round of moves. ``room``: how many more linked documents each shard takes.
+def flows(wanted: dict[tuple[int, int], int], room: dict[int, int]) -> dict[tuple[int, int], int]:
+    """How many of the ``wanted`` moves between shards take place.
 
-    A group's target is its largest part among shards with room; smaller parts move
-    there. Movers to a shard queue by the hash of their group, and the part at the end of
-    the quota is split.
+    Movers around a ring of shards exchange places, then those that are left fill the room,
+    and the places they leave. No shard takes in more than its room and what leaves it.
+    """
+    left = {move: n for move, n in wanted.items() if n > 0}
+    done: dict[tuple[int, int], int] = {}
+
+    def take(move, k):
+        done[move] = done.get(move, 0) + k
+        left[move] -= k
+        if not left[move]:
+            del left[move]
+
+    room, order, seen = dict(room), [], set()
+    for start in room:
+        path = [start] if start not in seen else []
+        while path:
+            onward = next((t for s, t in sorted(left) if s == path[-1] and t not in seen), None)
+            if onward is None:
+                # All targets of the shard come before it in the order.
+                order.append(path.pop())
+                seen.add(order[-1])
+            elif onward in path:
+                ring = path[path.index(onward) :]
+                moves = list(zip(ring, [*ring[1:], onward], strict=True))
+                k = min(left[m] for m in moves)
+                for m in moves:
+                    take(m, k)
+                del path[path.index(onward) + 1 :]
+            else:
+                path.append(onward)
+    for t in order:
+        for move in sorted(m for m in left if m[1] == t):
+            if (k := min(left[move], room[t])) > 0:
+                take(move, k)
+                room[t] -= k
+                room[move[0]] += k
+    return done
+
+
+def _movers(parts: DataFrame, target: dict[int, int], room: dict[int, int], turn: int) -> DataFrame:
+    """Parts that would move, with the ``target``: the largest part of their group.
+
+    A part that fills its shard is no target; in odd turns only shards with room are. Ties are broken anew in every turn, so that
+    movers that found no partner try the other direction.
     """
-    open_shards = [s for s, n in room.items() if n > 0]
+    full = F.element_at(F.create_map(*[F.lit(x) for s in target for x in (s, target[s])]), F.col("shard"))
     by_group = Window.partitionBy("g1", "g2")
-    fair = F.xxhash64("g1", "g2", "shard")
+    fair = F.xxhash64("g1", "g2", "shard", F.lit(turn))
     size = F.struct(F.col("n"), fair, F.col("shard"))
-    best = F.max(F.when(F.col("shard").isin(open_shards), size)).over(by_group)
-    aimed = parts.withColumn("best", best).withColumn("target", F.col("best.shard"))
-    moves = F.col("target").isNotNull() & (size < F.col("best"))
-    movers = aimed.where(moves).select("g1", "g2", "shard", "target", "n")
-    queued = running_sums(movers, ["target"], ["g1", "g2", "shard"], F.col("n"), "ahead", groups)
-    quota = F.element_at(F.create_map(*[F.lit(x) for s in room for x in (s, room[s])]), F.col("target"))
+    open_shards = [s for s, n in room.items() if n > 0 or turn % 2 == 0]
+    fits = (F.col("n") < full) & F.col("shard").isin(open_shards)
+    aimed = parts.withColumn("best", F.max(F.when(fits, size)).over(by_group))
+    aimed = aimed.withColumn("target", F.col("best.shard"))
+    return aimed.where(F.col("target").isNotNull() & (size < F.col("best"))).select("g1", "g2", "shard", "target", "n")
+
+
+def _round(parts: DataFrame, movers: DataFrame, admits: dict[tuple[int, int], int], groups: int) -> DataFrame:
+    """One round of moves; ``admits`` has the places for each shard and target.
+
+    Movers queue by the hash of their group; the part at the end of the places is split.
+    """
+    queued = running_sums(movers, ["shard", "target"], ["g1", "g2"], F.col("n"), "ahead", groups)
+    pair = F.concat_ws(">", "shard", "target")
+    places = F.create_map(*[F.lit(x) for (s, t), k in admits.items() for x in (f"{s}>{t}", k)])
+    quota = F.coalesce(F.try_element_at(places, pair), F.lit(0))
     admitted = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), quota - F.col("ahead")))
     taken = queued.select("g1", "g2", "shard", "target", admitted.alias("k")).where("k > 0")
     change = taken.select("g1", "g2", "shard", (-F.col("k")).alias("n")).unionByName(
@@ -55,13 +116,11 @@ def _round(parts: DataFrame, room: dict[int, int], groups: int) -> DataFrame:
     return stored(moved.where("n > 0"), "parts")
 
 
-def _held(parts: DataFrame, shards: int) -> tuple[dict[int, int], int, int]:
-    """Linked documents per shard (one number for each), rows, and the sum of squares."""
-    rows = parts.groupBy("shard").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"), F.sum(F.col("n").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)")).alias("squares")
-    ).collect()
+def _held(parts: DataFrame, shards: int) -> tuple[dict[int, int], int]:
+    """Linked documents per shard (one number for each), and rows."""
+    rows = parts.groupBy("shard").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
     held = dict.fromkeys(range(shards), 0) | {r["shard"]: r["n"] for r in rows}
-    return held, sum(r["rows"] for r in rows), int(sum(r["squares"] for r in rows))
+    return held, sum(r["rows"] for r in rows)
 
 
 def shard_documents(
@@ -87,21 +146,24 @@ def shard_documents(
     )
     total = rows.count()
     groups = rows.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("members"))
-    linked_groups = stored(groups.where("members > 1").select("g1", "g2"), "groups")
+    linked_groups = stored(groups.where("members > 1"), "groups")
     linked = stored(rows.join(linked_groups, ["g1", "g2"]), "linked")
     target = {s: total // shards + (s < total % shards) for s in range(shards)}
 
-    parts = stored(_first_parts(linked, shards), "parts")
-    held, n_parts, squares = _held(parts, shards)
-    parts = stored(_fit(parts, held, target, n_parts), "parts")
-    held, n_parts, squares = _held(parts, shards)
-    for _ in range(MAX_ROUNDS):
+    parts = stored(_first_parts(linked_groups, shards), "parts")
+    held, n_parts = _held(parts, shards)
+    # Every move makes the larger part of a group larger, so this ends.
+    turn = quiet = 0
+    while quiet < QUIET_TURNS:
         room = {s: target[s] - held[s] for s in target}
-        moved = _round(parts, room, n_parts)
-        held, n_parts, after = _held(moved, shards)
-        if after == squares:
-            break
-        parts, squares = moved, after
+        movers = _movers(parts, target, room, turn)
+        found = movers.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
+        admits = flows({(r["shard"], r["target"]): r["n"] for r in found}, room)
+        quiet = 0 if admits else quiet + 1
+        if admits:
+            parts = _round(parts, movers, admits, n_parts)
+            held, n_parts = _held(parts, shards)
+        turn += 1
 
     # Which of a group's documents lie where is free: they follow their rank in the group.
     ends = Window.partitionBy("g1", "g2").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -116,7 +178,7 @@ def shard_documents(
         & (F.col("d.rank") >= F.col("s.end") - F.col("s.n")),
     ).select("d.id", "d.size", "d.text_crc32", "s.shard")
 
-    free = rows.join(linked_groups, ["g1", "g2"], "left_anti")
+    free = rows.join(linked_groups.select("g1", "g2"), ["g1", "g2"], "left_anti")
     filled, limits = 0, []
     for s in range(shards):
         filled += target[s] - held[s]
@@ -136,30 +198,3 @@ def shard_documents(
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
-
-
-def _fit(parts: DataFrame, held: dict[int, int], target: dict[int, int], n_parts: int) -> DataFrame:
-    """Moves what exceeds a shard's target at the start to shards with room.
-
-    Only needed when nearly all documents are linked; the surplus of a shard is the end of
-    its queue and takes the room of the others in order.
-    """
-    surplus = {s: held[s] - target[s] for s in held if held[s] > target[s]}
-    if not surplus:
-        return parts
-    queued = running_sums(parts, ["shard"], ["g1", "g2"], F.col("n"), "ahead", n_parts)
-    quota = F.element_at(F.create_map(*[F.lit(x) for s in target for x in (s, target[s])]), F.col("shard"))
-    stays = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), quota - F.col("ahead")))
-    split = stored(queued.select("g1", "g2", "shard", "n", stays.alias("stays")), "surplus")
-    over = split.select("g1", "g2", "shard", (F.col("n") - F.col("stays")).alias("n")).where("n > 0")
-    over = running_sums(over, [], ["g1", "g2", "shard"], F.col("n"), "ahead", n_parts)
-    end, spans = 0, []
-    for s in target:
-        if (room := target[s] - held[s]) > 0:
-            spans.append(F.struct(F.lit(s).alias("to"), F.lit(end).alias("low"), F.lit(end + room).alias("high")))
-            end += room
-    each = over.withColumn("span", F.explode(F.array(*spans)))
-    k = F.least(F.col("ahead") + F.col("n"), F.col("span.high")) - F.greatest(F.col("ahead"), F.col("span.low"))
-    put = each.select("g1", "g2", F.col("span.to").alias("shard"), k.alias("n")).where("n > 0")
-    kept = split.select("g1", "g2", "shard", F.col("stays").alias("n")).where("n > 0")
-    return kept.unionByName(put).groupBy("g1", "g2", "shard").agg(F.sum("n").alias("n"))
