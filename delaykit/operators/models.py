@@ -166,6 +166,19 @@ def bounded(train: DataFrame, rows: int | None) -> DataFrame:
     return train if rows is None else train.orderBy(F.xxhash64(*train.columns), *train.columns).limit(rows)
 
 
+def fit_bounded(estimator: Pipeline, train: DataFrame, rows: int | None) -> PipelineModel:
+    """Fits a pipeline; only its last stage, where that is no linear model, is bounded to ``rows`` rows.
+
+    Scaler and encoders know all of ``train``.
+    """
+    *before, last = estimator.getStages()
+    if rows is None or isinstance(last, LinearRegression):
+        return estimator.fit(train)
+    prepared = Pipeline(stages=before).fit(train)
+    fitted = last.fit(prepared.transform(settled(bounded(train, rows))))
+    return PipelineModel([*prepared.stages, fitted])
+
+
 def cross_validated_mae(
     estimator: Pipeline, df: DataFrame, folds: int = 5, fit_rows: int | None = None
 ) -> DataFrame:
@@ -176,7 +189,7 @@ def cross_validated_mae(
     tagged = settled(df.withColumn("_fold", F.floor(F.rand(SEED) * folds).cast("int")))
     rows, means = 0, []
     for fold in range(folds):
-        model = estimator.fit(settled(bounded(tagged.where(F.col("_fold") != fold).drop("_fold"), fit_rows)))
+        model = fit_bounded(estimator, tagged.where(F.col("_fold") != fold).drop("_fold"), fit_rows)
         judged = regression_metrics(scored(model, tagged.where(F.col("_fold") == fold))).first()
         if judged["n"]:
             means.append(judged["mae"])
@@ -186,10 +199,10 @@ def cross_validated_mae(
 
 
 def train_and_evaluate(
-    models: Mapping[str, Pipeline], train: DataFrame, test: DataFrame
+    models: Mapping[str, Pipeline], train: DataFrame, test: DataFrame, rows: int | None = None
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit every pipeline and measure each on the test part."""
-    fitted = {name: p.fit(train) for name, p in models.items()}
+    """Fit every pipeline, trees to at most ``rows`` rows, and measure each on the test part."""
+    fitted = {name: fit_bounded(p, train, rows) for name, p in models.items()}
     tables = [
         regression_metrics(scored(m, test)).select(
             F.lit(i).alias("position"), F.lit(name).alias("model"), "n", "mae", "rmse", "r2"

@@ -7,7 +7,6 @@ inputs. Tree models are fitted to at most ``MAX_FIT_ROWS`` training rows (unboun
 
 from __future__ import annotations
 
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from delaykit import constants as K
@@ -25,10 +24,6 @@ from delaykit.sources import testdata as data
 MAX_FIT_ROWS, MAX_DEEP_ROWS = 1_000, 500
 
 
-def bounded(train, rows=MAX_FIT_ROWS):
-    return train.orderBy(F.xxhash64(*train.columns), *train.columns).limit(rows)
-
-
 # ---- the historical mean, which SQL can check -------------------------------
 
 _LIST = ", ".join(FLIGHT)
@@ -308,11 +303,9 @@ def _training_parts(spark, path):
 
 def _measured(name, estimator, spark, path, weight=False, rows=MAX_FIT_ROWS):
     train, test = _training_parts(spark, path)
-    if not isinstance(estimator, LinearRegression):
-        train = settled(bounded(train, rows))
     if weight:
         train = models.with_weights(train)
-    _, metrics = models.train_and_evaluate({name: models.pipeline(estimator)}, train, test)
+    _, metrics = models.train_and_evaluate({name: models.pipeline(estimator)}, train, test, rows)
     return metrics
 
 
@@ -349,8 +342,8 @@ def airport_model(spark, path):
         models.forest("airport_month", **AIRPORT),
         K.AIRPORT_MODEL_NUMERIC, K.AIRPORT_MODEL_CATEGORICAL,
     )
-    train, test = settled(bounded(parts.filter("split = 'train'"))), parts.filter("split = 'test'")
-    return pipeline.fit(train), train, test
+    train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
+    return models.fit_bounded(pipeline, train, MAX_FIT_ROWS), train, test
 
 
 @query("train_airport_forest")
@@ -411,13 +404,13 @@ def _(spark, path):
     numeric, _ = select_numeric(built)
     plain = [c for c in numeric if c in K.FEATURES]
     parts = settled(splitting.random_split(settled(built.select(*numeric, "DEP_DELAY"))))
-    train, test = settled(bounded(parts.filter("split = 'train'"), MAX_DEEP_ROWS)), parts.filter("split = 'test'")
+    train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     _, metrics = models.train_and_evaluate(
         {
             "plain": models.pipeline(models.forest("engineered"), plain, ()),
             "engineered": models.pipeline(models.forest("engineered"), numeric, ()),
         },
-        train, test,
+        train, test, MAX_DEEP_ROWS,
     )
     base = metrics.filter("model = 'plain'").select("mae").scalar()
     return models.compare_baseline(metrics, base)

@@ -17,3 +17,11 @@ def table(spark):
 def test_every_row_is_judged(table):
     found = models.cross_validated_mae(models.pipeline(models.linear(), ["x"], ()), table, folds=2, fit_rows=50).first()
     assert found["n"] == 400 and found["cv_mae"] == pytest.approx(0, abs=1e-6)
+
+
+def test_encoders_know_all_rows_and_only_trees_are_bounded(table):
+    trees = models.pipeline(models.booster(maxIter=1, maxDepth=2), ["x"], ["c"])
+    model = models.fit_bounded(trees, table, 10)
+    assert len(models.feature_names(model, table)) >= 1 + 40
+    linear = models.fit_bounded(models.pipeline(models.linear(), ["x"], ()), table, 1)
+    assert models.regression_metrics(models.scored(linear, table)).first()["mae"] == pytest.approx(0, abs=1e-6)
