@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from delaykit.llm import (
+    alignment,
     ann,
+    collocations,
     mixing,
     pieces,
     quality,
     rules,
+    secrets,
     sharding,
     simhash,
     token_counts,
@@ -151,3 +154,114 @@ def op10_token_counts(spark: SparkSession, path: str) -> DataFrame:
     return token_counts.count_tokens(
         table(spark, path, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _strong_sql(kind: int, pattern: str, kept: str) -> str:
+    p = _quoted(pattern)
+    return f"""SELECT rid, t, regexp_extract_all(t, {p}, 0) AS h, regexp_split_to_array(t, {p}) AS g,
+        list_transform({kept}, lambda x: CASE WHEN x THEN {kind} END) AS ks FROM d"""
+
+
+_WEAK = _quoted(secrets.WEAK)
+OP11_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), cut AS (
+    {_strong_sql(0, secrets.ASSIGN, f"list_transform(regexp_extract_all(t, {_quoted(secrets.ASSIGN)}, 2), lambda v: length(v) >= 8)")}
+    UNION ALL {_strong_sql(1, secrets.ACCESS, f"list_transform(regexp_extract_all(t, {_quoted(secrets.ACCESS)}, 0), lambda v: true)")}
+    UNION ALL {_strong_sql(2, secrets.HEX, f"list_transform(regexp_extract_all(t, {_quoted(secrets.HEX)}, 0), lambda v: true)")}
+    UNION ALL SELECT rid, t, regexp_extract_all(t, {_WEAK}, 0), regexp_split_to_array(t, {_WEAK}),
+        list_transform(list_zip(regexp_extract_all(t, {_WEAK}, 1), regexp_extract_all(t, {_WEAK}, 2), regexp_extract_all(t, {_WEAK}, 3)),
+            lambda z: CASE WHEN z[1] <> '' THEN 3 WHEN z[2] <> '' THEN 5
+                WHEN regexp_matches(z[3], '[a-z]') AND regexp_matches(z[3], '[A-Z]') AND regexp_matches(z[3], '[0-9]') THEN 4 END)
+    FROM d
+), hits AS (
+    SELECT rid, t, ks[i] AS kind, length(h[i]) AS n, list_sum(list_transform(g[1:i], lambda x: length(x)))
+        + list_sum(list_transform(h[1:i], lambda x: length(x))) AS finish
+    FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM cut)
+), parts AS (
+    SELECT rid, kind, (finish - n)::BIGINT AS start, finish::BIGINT AS finish,
+        len(regexp_extract_all(left(t, (finish - n)::BIGINT), {_quoted(secrets.BLANK)})) AS scope
+    FROM hits WHERE kind IS NOT NULL
+), met AS (
+    SELECT a.rid, a.kind, a.start, a.finish, bool_or(b.kind IN (1, 3)) AS named, bool_or(b.kind IN (0, 2, 4)) AS secret
+    FROM parts a JOIN parts b ON a.rid = b.rid AND a.scope = b.scope AND abs(a.start - b.start) <= 300
+    WHERE a.kind >= 3 GROUP BY ALL
+), reported AS (
+    SELECT rid, kind, start, finish FROM parts WHERE kind < 3
+    UNION ALL SELECT rid, kind, start, finish FROM met
+    WHERE CASE kind WHEN 3 THEN secret WHEN 4 THEN named ELSE named AND secret END
+), told AS (
+    SELECT rid, kind, start, ['assign', 'access', 'hex', 'user', 'opaque', 'endpoint'][kind + 1] || ':' || start || ':' || finish AS span
+    FROM reported
+), summed AS (
+    SELECT rid, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+        count(*) FILTER (WHERE kind = 2) AS n_hex,
+        string_agg(span, ',' ORDER BY start, kind) FILTER (WHERE kind < 3) AS base,
+        string_agg(span, ',' ORDER BY start, kind) AS spans
+    FROM told GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+    coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN summed USING (rid)
+"""
+
+
+@register("op11_linked_secrets", OP11_SQL)
+def op11_linked_secrets(spark: SparkSession, path: str) -> DataFrame:
+    return secrets.span_digests(secrets.scan(table(spark, path, "documents")))
+
+
+@register("op12_aligned_tokens")
+def op12_aligned_tokens(spark: SparkSession, path: str) -> DataFrame:
+    rows = alignment.align_documents(
+        table(spark, path, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        digest=True,
+    )
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT lang, row_number() OVER () AS piece, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') AS ws
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+), places AS (
+    SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM pieces CROSS JOIN (VALUES (1), (2), (3), (4), (5)) AS length(k)
+), counts AS (
+    SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL
+), sizes AS (
+    SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang
+), longer AS (
+    SELECT lang, f, string_split(phrase, ' ') AS ws, k, unnest(range(2, k)) AS m FROM counts WHERE f >= 100 AND k > 2
+), inside AS (
+    SELECT lang, f, ws, m, unnest(range(1, k - m + 2)) AS i FROM longer
+), held AS (
+    SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(f) AS held FROM inside GROUP BY ALL
+), candidates AS (
+    SELECT c.lang, c.phrase, c.f AS a, c.k, string_split(c.phrase, ' ') AS ws FROM counts c LEFT JOIN held h ON c.lang = h.lang AND c.phrase = h.phrase
+    WHERE c.k > 1 AND c.f >= 100 AND 100 * coalesce(h.held, 0) < 100 * c.f
+), cuts AS (
+    SELECT lang, phrase, a, k, ws, unnest(range(1, k)) AS cut FROM candidates
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r, n::BIGINT AS n,
+        ((1000::HUGEINT * c.a * n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT))::BIGINT AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1 : cut], ' ')
+        JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(ws[cut + 1 : c.k], ' ') JOIN sizes s ON s.lang = c.lang
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1
+), placed AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM scored
+)
+SELECT * FROM placed WHERE rank <= 2000
+"""
+
+
+@register("op13_phrases", OP13_SQL)
+def op13_phrases(spark: SparkSession, path: str) -> DataFrame:
+    return collocations.mine(table(spark, path, "documents"))
