@@ -28,9 +28,10 @@ def groups_of(both, text):
     a, b = (x.tolist() for x in encoded)
     ends_a = list(accumulate(len(both.a.tokens[i]) for i in a))
     ends_b = list(accumulate(len(both.b.tokens[i]) for i in b))
+    upto_a, upto_b = ({e: i + 1 for i, e in enumerate(ends)} for ends in (ends_a, ends_b))
     groups, i, j = [], 0, 0
     for cut in sorted(set(ends_a) & set(ends_b)):
-        m, n = ends_a.index(cut) + 1, ends_b.index(cut) + 1
+        m, n = upto_a[cut], upto_b[cut]
         groups.append((a[i:m], b[j:n]))
         i, j = m, n
     return groups
