@@ -8,9 +8,11 @@ before (after) a phrase are the transform's symbols inside its interval, and eac
 the interval of the longer phrase, so counts and extensions need no look at the text.
 
 Levels go from words to longer phrases. Each shard extends the phrases that are frequent
-in the whole language, to the left and to the right in turn; the counts are summed over
-the shards, and only frequent phrases go back to the shards that hold them. Words that
-are rare in their language part the text, since no frequent phrase holds one.
+in the whole language, to the left and to the right in turn, and the counts are summed
+over the shards. Shards know the frequent phrases as marked bits, ``MARK_BITS`` at most:
+a bit may be shared, so a shard may extend a rare phrase in vain, but never misses a
+frequent one, and counts are exact. Words that are rare in their language part the
+text, since no frequent phrase holds one.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +43,9 @@ _TABLE = bytes(_TABLE)
 # Words of one language in a shard, and how many such shards a task gathers at once.
 SHARD_WORDS, GATHERED_SHARDS = 1 << 20, 4
 SORTED_WORDS = 8
-_ID = np.dtype(">u4")
+# 16 MB for each length of phrases; more phrases than a sixteenth of it share bits more often.
+MARK_BITS = 1 << 27
+ROWS = 1 << 17
 
 
 def pieces(text: str) -> list[bytes]:
@@ -173,18 +178,61 @@ def extended(index: PhraseIndex, known: Phrases, left: bool) -> Phrases:
     return made.of((symbol > 0) & within)
 
 
-def _rows(shard: int, found: Phrases) -> pd.DataFrame:
-    length = found.words.shape[1] * _ID.itemsize
-    packed = np.ascontiguousarray(found.words.astype(_ID)).tobytes()
-    return pd.DataFrame(
-        {
-            "phrase": [packed[i : i + length] for i in range(0, len(packed), length)],
-            "shard": np.full(len(found.at), shard), "at": found.at, "back": found.back, "times": found.times,
-        }
-    )
+def _keys(words: np.ndarray) -> list[np.ndarray]:
+    """A phrase as long numbers of two word ids each; the last of an odd length has one."""
+    shifted = words.astype(np.int64)
+    columns = [shifted[:, i] for i in range(words.shape[1])]
+    pairs = [a << 32 | b for a, b in zip(columns[::2], columns[1::2])]
+    return pairs + columns[-1:] if len(columns) % 2 else pairs
+
+
+def _key_names(length: int) -> list[str]:
+    return [f"p{i}" for i in range((length + 1) // 2)]
+
+
+def _bits(keys: list[np.ndarray], size: int) -> np.ndarray:
+    """The place of each phrase among ``size`` bits, a power of two."""
+    mixed = np.zeros(len(keys[0]), dtype=np.uint64)
+    for key in keys:
+        mixed = (mixed ^ key.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)).astype(np.int64) & (size - 1)
+
+
+class Marks(NamedTuple):
+    """A set of phrases as marked bits: knows each of them, and some others."""
+
+    size: int
+    packed: bytes
+
+    def known(self, found: Phrases) -> Phrases:
+        at = _bits(_keys(found.words), self.size)
+        bits = np.frombuffer(self.packed, dtype=np.uint8)
+        return found.of((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
 
 
-_FOUND = "phrase binary, shard long, at long, back long, times long"
+def marks_of(phrases: DataFrame, length: int) -> Marks:
+    """The bits of stored ``phrases``, at most ``MARK_BITS`` of them, whatever the data."""
+    rows = phrases.count()
+    size = max(1 << 15, min(MARK_BITS, 1 << (16 * rows).bit_length()))
+    names = _key_names(length)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _bits([batch.column(n).to_numpy() for n in names], size)
+            yield pa.RecordBatch.from_arrays([pa.array(at)], ["bit"])
+
+    # Spark's bitmaps have 32,768 bits; the first is numbered 1.
+    bit = phrases.select(*names).mapInArrow(places, "bit long").select(F.col("bit") + 1)
+    bit = bit.toDF("bit")
+    rows = bit.groupBy(F.bitmap_bucket_number("bit").alias("number")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")
+    )
+    packed = bytearray(size // 8)
+    for row in rows.toLocalIterator():
+        at = (row["number"] - 1) * 4096
+        packed[at : at + 4096] = row["bitmap"]
+    return Marks(size, bytes(packed))
 
 
 def _index_of(row) -> PhraseIndex:
@@ -212,22 +260,23 @@ def _build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for row in frame.itertuples():
-            index = _index_of(row)
-            yield _rows(row.shard, extended(index, single_words(index), left=False))
-
+def _level(length: int, marks):
+    """Finds the phrases of ``length`` words in a shard by way of the marked shorter ones."""
+    names = _key_names(length)
 
-def _longer(length: int):
-    def extend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                words = np.frombuffer(b"".join(row.phrases), dtype=_ID).reshape(len(row.phrases), -1)
-                known = Phrases(words.astype(np.int64), *(np.asarray(x, dtype=np.int64) for x in (row.ats, row.backs, row.counts)))
-                yield _rows(row.shard, extended(_index_of(row), known, left=length % 2 == 1))
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pandas().itertuples():
+                index = _index_of(row)
+                found = extended(index, single_words(index), left=False)
+                for step, known in enumerate(marks.value, start=3):
+                    found = extended(index, known.known(found), left=step % 2 == 1)
+                for at in range(0, len(found.times), ROWS):
+                    part = found.of(slice(at, at + ROWS))
+                    columns = [*_keys(part.words), part.times.astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*names, "times"])
 
-    return extend
+    return find
 
 
 def shards(df: DataFrame, text_col: str, lang_col: str, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -253,25 +302,19 @@ def indexes(parts: DataFrame, words: DataFrame) -> DataFrame:
 
 def phrase_counts(index: DataFrame, least: int, longest: int) -> DataFrame:
     """``phrase`` (ids of four bytes) and ``f`` of all phrases of 2 to ``longest`` words with ``f >= least``."""
-    found, tables = index.mapInPandas(_pairs, _FOUND), []
+    marks, whole = [], None
     for length in range(2, longest + 1):
-        sums = found.groupBy("phrase").agg(F.sum("times").alias("f")).where(F.col("f") >= least)
-        tables.append(stored(sums, f"phrases-{length}"))
-        if length == longest or tables[-1].isEmpty():
-            break
-        # What is frequent goes back to the shards that hold it; they are searched again
-        # rather than stored, since most of what they find is rare.
-        kept = found.join(tables[-1].select("phrase"), "phrase", "left_semi")
-        state = kept.groupBy(F.col("shard").alias("of")).agg(
-            F.collect_list("phrase").alias("phrases"), F.collect_list("at").alias("ats"),
-            F.collect_list("back").alias("backs"), F.collect_list("times").alias("counts"),
-        )
-        state = stored(state, f"state-{length}")
-        joined = index.join(state, index["shard"] == state["of"]).drop("of")
-        found = joined.mapInPandas(_longer(length + 1), _FOUND)
-    whole = tables[0]
-    for t in tables[1:]:
-        whole = whole.unionByName(t)
+        names = _key_names(length)
+        schema = ", ".join(f"{n} long" for n in [*names, "times"])
+        sent = index.sparkSession.sparkContext.broadcast(tuple(marks))
+        sums = index.mapInArrow(_level(length, sent), schema).groupBy(*names).agg(F.sum("times").alias("f"))
+        frequent = stored(sums.where(F.col("f") >= least), f"phrases-{length}")
+        digits = [16] * (length // 2) + [8] * (length % 2)
+        packed = F.concat(*[F.unhex(F.lpad(F.hex(n), d, "0")) for n, d in zip(names, digits)])
+        table = frequent.select(packed.alias("phrase"), "f")
+        whole = table if whole is None else whole.unionByName(table)
+        if length < longest:
+            marks.append(marks_of(frequent, length))
     return whole
 
 

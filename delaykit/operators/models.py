@@ -1,13 +1,17 @@
-"""Training, evaluation and comparison of delay models with Spark ML."""
+"""Training, evaluation and comparison of delay models: Spark ML's linear one, and trees.
+
+Trees are those of ``operators.trees``; every learner reads all training rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,26 +21,27 @@ from delaykit.functions import labels
 from delaykit.operators.features import preprocessor_stages
 from delaykit.operators.lookups import lookup_join, settled
 from delaykit.operators.splitting import hash_fold
+from delaykit.operators.trees import Blocks, Rules, TreeModel, bin_edges, blocks, boosted, forest_predictions, forests
 
 TARGET = "DEP_DELAY"
-SEED = 42
 
-# The model settings in use. A depth of 30 is the most Spark
-# takes and stands for "unbounded".
+# The model settings in use.
 FORESTS = {
-    "flights": {"numTrees": 300, "maxDepth": 30, "minInstancesPerNode": 2},
-    "airport_month": {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2},
-    "grid": {"numTrees": 100, "maxDepth": 15, "minInstancesPerNode": 2},
-    "engineered": {"numTrees": 200, "maxDepth": 20, "minInstancesPerNode": 1},
+    "flights": Rules(trees=300, bootstrap=True, least_rows=2, split_rows=5),
+    "airport_month": Rules(trees=100, depth=10, bootstrap=True, least_rows=2, split_rows=5),
+    "grid": Rules(trees=100, depth=15, bootstrap=True, least_rows=2, split_rows=5),
+    "engineered": Rules(trees=200, depth=20, bootstrap=True),
 }
 BOOSTERS = {
-    "airport_month": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1},
-    "engineered": {"maxIter": 200, "maxDepth": 10, "stepSize": 0.1},
-    "weighted": {
-        "maxIter": 200, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8", "minInstancesPerNode": 3,
-    },
+    "airport_month": Rules(trees=100, depth=6, rate=0.1),
+    "engineered": Rules(trees=200, depth=10, rate=0.1),
+    "weighted": Rules(
+        trees=200, depth=6, rate=0.1, rows_share=0.8, columns_share=0.8, least_weight=3.0,
+        gamma=0.1, l1=0.1, l2=1.0,
+    ),
 }
+# Deeper trees are about as large as their data and are not kept as a model.
+KEPT_DEPTH = 10
 
 # Columns the flight models read: every numeric feature once.
 FLIGHT_NUMERIC = K.NUMERIC_FEATURES + tuple(
@@ -54,18 +59,49 @@ def linear(**changes) -> LinearRegression:
     return LinearRegression(**_settings({}, changes))
 
 
-def forest(kind: str = "flights", **changes) -> RandomForestRegressor:
-    # More nodes per pass over the rows; the trees are the same.
-    base = {"featureSubsetStrategy": "all", "seed": SEED, "maxMemoryInMB": 1024, **FORESTS[kind]}
-    return RandomForestRegressor(**_settings(base, changes))
+@dataclass(frozen=True)
+class TreeLearner:
+    """Boosted trees or a forest over the named columns."""
+
+    rules: Rules
+    boosting: bool
+    numeric: tuple[str, ...] = FLIGHT_NUMERIC
+    categorical: tuple[str, ...] = K.CATEGORICAL_FEATURES
+    target: str = TARGET
+    weight: str | None = None
+
+    @property
+    def kept(self) -> bool:
+        return self.rules.depth is not None and self.rules.depth <= KEPT_DEPTH
+
+    def prepared(self, df: DataFrame, part: str | None = None, fit_on: DataFrame | None = None) -> Blocks:
+        edges = None if fit_on is None else bin_edges(fit_on.where(F.col(self.target).isNotNull()), self.numeric)
+        return blocks(df, self.numeric, self.categorical, self.target, self.weight, part, edges)
+
+    def fit_parts(self, source: Blocks, parts: Sequence[int | None]) -> list[TreeModel]:
+        """One model for each part left out, all grown in the same passes."""
+        return (boosted if self.boosting else forests)(source, self.rules, parts)
+
+    def fit(self, df: DataFrame) -> TreeModel:
+        return self.fit_parts(self.prepared(df), (None,))[0]
 
+    def predictions(self, train: DataFrame, test: DataFrame) -> DataFrame:
+        """``actual`` and ``predicted`` of the test rows; for trees that are not kept."""
+        read = list(dict.fromkeys([*self.numeric, *self.categorical, self.target, *([self.weight] if self.weight else [])]))
+        both = train.select(*read, F.lit(0).alias("_part")).unionByName(test.select(*read, F.lit(1).alias("_part")))
+        return forest_predictions(self.prepared(both, "_part", train), self.rules, 1)
 
-def booster(kind: str = "airport_month", **changes) -> GBTRegressor:
-    return GBTRegressor(**_settings({"seed": SEED, **BOOSTERS[kind]}, changes))
 
+def forest(kind: str = "flights", **columns) -> TreeLearner:
+    return TreeLearner(FORESTS[kind], False, **columns)
 
-def weighted_booster(weight: str = "weight", **changes) -> GBTRegressor:
-    return booster("weighted", weightCol=weight, **changes)
+
+def booster(kind: str = "airport_month", **columns) -> TreeLearner:
+    return TreeLearner(BOOSTERS[kind], True, **columns)
+
+
+def weighted_booster(weight: str = "weight", **columns) -> TreeLearner:
+    return booster("weighted", weight=weight, **columns)
 
 
 def with_weights(df: DataFrame, target: str = TARGET, name: str = "weight") -> DataFrame:
@@ -80,7 +116,7 @@ def pipeline(
     return Pipeline(stages=[*preprocessor_stages(numeric, categorical), estimator])
 
 
-def scored(model: PipelineModel, df: DataFrame) -> DataFrame:
+def scored(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
     """Predictions beside the input columns."""
     out = model.transform(df)
     return out.select(*df.columns, F.col("prediction").alias("predicted"))
@@ -161,36 +197,24 @@ def cv_mae(
     )
 
 
-def bounded(train: DataFrame, rows: int | None) -> DataFrame:
-    """The ``rows`` rows with the smallest hashes of their values; all without a bound."""
-    return train if rows is None else train.orderBy(F.xxhash64(*train.columns), *train.columns).limit(rows)
-
-
-def fit_bounded(estimator: Pipeline, train: DataFrame, rows: int | None) -> PipelineModel:
-    """Fits a pipeline; only its last stage, where that is no linear model, is bounded to ``rows`` rows.
-
-    Scaler and encoders know all of ``train``.
-    """
-    *before, last = estimator.getStages()
-    if rows is None or isinstance(last, LinearRegression):
-        return estimator.fit(train)
-    prepared = Pipeline(stages=before).fit(train)
-    fitted = last.fit(prepared.transform(settled(bounded(train, rows))))
-    return PipelineModel([*prepared.stages, fitted])
-
-
 def cross_validated_mae(
-    estimator: Pipeline, df: DataFrame, folds: int = 5, fit_rows: int | None = None
+    learner: Pipeline | TreeLearner, df: DataFrame, folds: int = 5, fold_on: Sequence[str] | None = None
 ) -> DataFrame:
-    """Mean MAE of a pipeline over random folds.
+    """Mean over the folds of the MAE on the rows of the fold; every row is learned from and judged.
 
-    ``fit_rows`` bounds the rows that each fit reads; every row of a fold is judged.
+    The fold comes from the content of the row. Trees of all folds are grown in the same
+    passes: a fold is a number in the key of their sums.
     """
-    tagged = settled(df.withColumn("_fold", F.floor(F.rand(SEED) * folds).cast("int")))
+    tagged = settled(df.withColumn("_fold", hash_fold(df, fold_on or df.columns, folds)))
+    used = sorted(r[0] for r in tagged.select("_fold").distinct().collect())
+    if isinstance(learner, TreeLearner):
+        fitted = dict(zip(used, learner.fit_parts(learner.prepared(tagged, "_fold"), used)))
+    else:
+        fitted = {fold: learner.fit(tagged.where(F.col("_fold") != fold).drop("_fold")) for fold in used}
+    target = learner.target if isinstance(learner, TreeLearner) else TARGET
     rows, means = 0, []
-    for fold in range(folds):
-        model = fit_bounded(estimator, tagged.where(F.col("_fold") != fold).drop("_fold"), fit_rows)
-        judged = regression_metrics(scored(model, tagged.where(F.col("_fold") == fold))).first()
+    for fold, model in fitted.items():
+        judged = regression_metrics(scored(model, tagged.where(F.col("_fold") == fold)), target).first()
         if judged["n"]:
             means.append(judged["mae"])
             rows += judged["n"]
@@ -199,16 +223,21 @@ def cross_validated_mae(
 
 
 def train_and_evaluate(
-    models: Mapping[str, Pipeline], train: DataFrame, test: DataFrame, rows: int | None = None
-) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit every pipeline, trees to at most ``rows`` rows, and measure each on the test part."""
-    fitted = {name: fit_bounded(p, train, rows) for name, p in models.items()}
-    tables = [
-        regression_metrics(scored(m, test)).select(
-            F.lit(i).alias("position"), F.lit(name).alias("model"), "n", "mae", "rmse", "r2"
-        )
-        for i, (name, m) in enumerate(fitted.items())
-    ]
+    models: Mapping[str, Pipeline | TreeLearner], train: DataFrame, test: DataFrame
+) -> tuple[dict[str, PipelineModel | TreeModel], DataFrame]:
+    """Fit every learner to all training rows and measure each on the test part.
+
+    Trees deeper than ``KEPT_DEPTH`` are measured, but give no model to keep.
+    """
+    fitted, tables = {}, []
+    for i, (name, learner) in enumerate(models.items()):
+        if isinstance(learner, TreeLearner) and not learner.kept:
+            metrics = regression_metrics(learner.predictions(train, test), "actual")
+        else:
+            fitted[name] = learner.fit(train)
+            target = learner.target if isinstance(learner, TreeLearner) else TARGET
+            metrics = regression_metrics(scored(fitted[name], test), target)
+        tables.append(metrics.select(F.lit(i).alias("position"), F.lit(name).alias("model"), "n", "mae", "rmse", "r2"))
     return fitted, reduce(lambda a, b: a.unionByName(b), tables)
 
 
@@ -218,39 +247,27 @@ def select_best(metrics: DataFrame) -> DataFrame:
     return metrics.agg(best).select("b.model", "b.mae", "b.rmse", "b.r2")
 
 
-def feature_names(model: PipelineModel, df: DataFrame, features: str = "features") -> list[str]:
-    """Names of the vector's slots, indicator slots included."""
-    meta = model.transform(df.limit(1)).schema[features].metadata["ml_attr"]
-    slots = {a["idx"]: a["name"] for group in meta["attrs"].values() for a in group}
-    return [slots.get(i, f"f{i}") for i in range(meta["num_attrs"])]
+def model_importance(model: TreeModel, df: DataFrame, top_n: int = 20) -> DataFrame:
+    """Columns, and labels of categorical ones, by their share of all gain; new ones marked.
 
-
-def model_importance(
-    model: PipelineModel, df: DataFrame, numeric: Sequence[str], top_n: int = 20
-) -> DataFrame:
-    """Most important features of a tree model, new ones marked."""
-    importance = model.stages[-1].featureImportances
-    names = feature_names(model, df)
-    rows = [
-        (_readable(names[int(i)], numeric), float(v))
-        for i, v in zip(importance.indices, importance.values)
-    ]
-    table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    ``df`` names the labels, which the model knows by their hash.
+    """
+    shares = [(name, key, float(v)) for (name, key), v in model.importances().items()]
+    table = df.sparkSession.createDataFrame(shares, "column string, label_hash long, importance double")
+    for c in model.categorical:
+        known = df.select(F.col(c).cast("string").alias("label")).na.drop().distinct()
+        known = known.select(F.lit(c).alias("column"), F.xxhash64("label").alias("label_hash"), F.col("label").alias(f"_{c}"))
+        table = table.join(known, ["column", "label_hash"], "left")
+    label = F.coalesce(F.lit(None).cast("string"), *[F.col(f"_{c}") for c in model.categorical])
+    named = table.withColumn("feature", F.concat("column", F.when(F.col("label_hash").isNotNull(), F.concat(F.lit("="), F.coalesce(label, F.lit("")))).otherwise("")))
     is_new = reduce(lambda a, b: a | b, [F.col("feature").contains(m) for m in K.NEW_FEATURE_MARKS])
     return (
-        table.withColumn("is_new", is_new)
+        named.select("feature", "importance", is_new.alias("is_new"))
         .orderBy(F.desc("importance"), "feature")
         .limit(top_n)
     )
 
 
-def _readable(slot: str, numeric: Sequence[str]) -> str:
-    """``scaled_3`` is the fourth numeric column, ``route_hot_A-B`` a label."""
-    if slot.startswith("scaled_") and slot[7:].isdigit():
-        return numeric[int(slot[7:])]
-    return slot.replace("_hot_", "=")
-
-
 def family(name: Column) -> Column:
     """Kind of engineered feature by its name."""
     out = None

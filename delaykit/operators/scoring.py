@@ -1,6 +1,6 @@
 """Scoring of flight requests in batches.
 
-A scorer is a column over the feature table, or a fitted pipeline.
+A scorer is a column over the feature table, or a fitted model.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from delaykit import constants as K
 from delaykit.functions import labels, numbers
 from delaykit.operators.enrichment import scenario_delay
 from delaykit.operators.features import availability_features, serving_features
+from delaykit.operators.trees import TreeModel
 
-Scorer = Column | PipelineModel
+Scorer = Column | PipelineModel | TreeModel
 
 
 def scenario_scorer() -> Column:
@@ -35,15 +36,17 @@ def cause_mix_scorer() -> Column:
     return F.coalesce(F.try_divide(numbers.row_sum(weighted), numbers.row_sum(rates)), F.lit(0.0))
 
 
-def model_inputs(model: PipelineModel, features: DataFrame) -> list[str]:
-    """The numeric columns of ``features`` that a fitted pipeline reads."""
+def model_inputs(model: PipelineModel | TreeModel, features: DataFrame) -> list[str]:
+    """The numeric columns of ``features`` that a fitted model reads."""
+    if isinstance(model, TreeModel):
+        return [c for c in model.numeric if c in features.columns]
     read = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
     return [c for c in read if c in features.columns]
 
 
 def _predicted(features: DataFrame, scorer: Scorer) -> DataFrame:
     """The features with ``_p``, null where the scorer lacks one of its inputs."""
-    if not isinstance(scorer, PipelineModel):
+    if isinstance(scorer, Column):
         return features.withColumn("_p", scorer)
     inputs = model_inputs(scorer, features)
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in inputs], F.lit(True))

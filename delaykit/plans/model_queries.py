@@ -1,8 +1,7 @@
 """Models, their evaluation, and scoring.
 
 Every model runs with the published settings of ``operators.models`` and all of its
-inputs. Tree models are fitted to at most ``MAX_FIT_ROWS`` training rows (unbounded ones
-``MAX_DEEP_ROWS``) and always measured on the whole test part.
+inputs, is fitted to all training rows and measured on the whole test part.
 """
 
 from __future__ import annotations
@@ -19,11 +18,6 @@ from delaykit.plans.report_queries import report
 from delaykit.plans.views import digest_sql, scenario, with_views
 from delaykit.sources import testdata as data
 
-# The bound of labelled rows for a fit: those with the smallest hashes of their values.
-# Unbounded trees keep counts for about every row of every tree, so theirs is smaller.
-MAX_FIT_ROWS, MAX_DEEP_ROWS = 1_000, 500
-
-
 # ---- the historical mean, which SQL can check -------------------------------
 
 _LIST = ", ".join(FLIGHT)
@@ -301,22 +295,22 @@ def _training_parts(spark, path):
     return table.filter("split = 'train'").drop("split"), table.filter("split = 'test'").drop("split")
 
 
-def _measured(name, estimator, spark, path, weight=False, rows=MAX_FIT_ROWS):
+def _measured(name, learner, spark, path, weight=False):
     train, test = _training_parts(spark, path)
     if weight:
         train = models.with_weights(train)
-    _, metrics = models.train_and_evaluate({name: models.pipeline(estimator)}, train, test, rows)
+    _, metrics = models.train_and_evaluate({name: learner}, train, test)
     return metrics
 
 
 @query("train_linear")
 def _(spark, path):
-    return _measured("linear", models.linear(), spark, path)
+    return _measured("linear", models.pipeline(models.linear()), spark, path)
 
 
 @query("train_forest")
 def _(spark, path):
-    return _measured("random_forest", models.forest("flights"), spark, path, rows=MAX_DEEP_ROWS)
+    return _measured("random_forest", models.forest("flights"), spark, path)
 
 
 @query("train_gbt")
@@ -329,21 +323,18 @@ def _(spark, path):
     return _measured("weighted_boosting", models.weighted_booster(), spark, path, weight=True)
 
 
-AIRPORT = {"labelCol": "avg_delay_minutes"}
+AIRPORT = {
+    "numeric": tuple(K.AIRPORT_MODEL_NUMERIC), "categorical": tuple(K.AIRPORT_MODEL_CATEGORICAL),
+    "target": "avg_delay_minutes",
+}
 
 
 def airport_model(spark, path):
     """Forest over carrier, airport and month, split within each airport."""
-    table = report(spark, path).select(
-        *K.AIRPORT_MODEL_NUMERIC, *K.AIRPORT_MODEL_CATEGORICAL, "avg_delay_minutes"
-    )
+    table = report(spark, path).select(*AIRPORT["numeric"], *AIRPORT["categorical"], AIRPORT["target"])
     parts = settled(splitting.stratified_split(settled(table), "airport"))
-    pipeline = models.pipeline(
-        models.forest("airport_month", **AIRPORT),
-        K.AIRPORT_MODEL_NUMERIC, K.AIRPORT_MODEL_CATEGORICAL,
-    )
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
-    return models.fit_bounded(pipeline, train, MAX_FIT_ROWS), train, test
+    return models.forest("airport_month", **AIRPORT).fit(train), train, test
 
 
 @query("train_airport_forest")
@@ -355,7 +346,7 @@ def _(spark, path):
 @query("model_importance")
 def _(spark, path):
     model, train, _ = airport_model(spark, path)
-    return models.model_importance(model, train, K.AIRPORT_MODEL_NUMERIC)
+    return models.model_importance(model, train)
 
 
 @query("score_gated_model")
@@ -378,14 +369,12 @@ def _(spark, path):
 
 @query("cv_mae_model")
 def _(spark, path):
-    """Forest and booster over carrier, airport and month, each over random folds."""
-    columns = [*K.AIRPORT_MODEL_NUMERIC, *K.AIRPORT_MODEL_CATEGORICAL]
-    table = report(spark, path).select(*columns, F.col("avg_delay_minutes").alias(models.TARGET)).na.drop()
-    rows = settled(table)
+    """Forest and booster over carrier, airport and month, each over folds of the rows' content."""
+    columns = [*AIRPORT["numeric"], *AIRPORT["categorical"], AIRPORT["target"]]
+    rows = settled(report(spark, path).select(*columns).na.drop())
     out = None
-    for name, estimator in (("forest", models.forest("airport_month")), ("booster", models.booster("airport_month"))):
-        pipeline = models.pipeline(estimator, K.AIRPORT_MODEL_NUMERIC, K.AIRPORT_MODEL_CATEGORICAL)
-        row = models.cross_validated_mae(pipeline, rows, fit_rows=MAX_FIT_ROWS).withColumn("model", F.lit(name))
+    for name, make in (("forest", models.forest), ("booster", models.booster)):
+        row = models.cross_validated_mae(make("airport_month", **AIRPORT), rows).withColumn("model", F.lit(name))
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -407,10 +396,10 @@ def _(spark, path):
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     _, metrics = models.train_and_evaluate(
         {
-            "plain": models.pipeline(models.forest("engineered"), plain, ()),
-            "engineered": models.pipeline(models.forest("engineered"), numeric, ()),
+            "plain": models.forest("engineered", numeric=tuple(plain), categorical=()),
+            "engineered": models.forest("engineered", numeric=tuple(numeric), categorical=()),
         },
-        train, test, MAX_DEEP_ROWS,
+        train, test,
     )
     base = metrics.filter("model = 'plain'").select("mae").scalar()
     return models.compare_baseline(metrics, base)

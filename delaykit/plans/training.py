@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from delaykit import constants as K
 from delaykit.operators import cleaning, enrichment, features, metrics, models, splitting, summaries
 from delaykit.operators.lookups import settled
-from delaykit.plans.model_queries import MAX_FIT_ROWS
+from delaykit.operators.trees import TreeModel
 from delaykit.sources import csv_files, sinks
 
 FLIGHT = ["OP_CARRIER", "FL_NUM", "ORIGIN", "DEST", "DEP_HOUR", "DEP_DELAY", "FL_DATE", "DISTANCE"]
@@ -20,15 +20,15 @@ FLIGHT = ["OP_CARRIER", "FL_NUM", "ORIGIN", "DEST", "DEP_HOUR", "DEP_DELAY", "FL
 
 class Trained(NamedTuple):
     best: str
-    model: PipelineModel
+    model: PipelineModel | TreeModel
     metrics: DataFrame
     paths: dict[str, str]
 
 
-def candidates() -> dict[str, Pipeline]:
+def candidates() -> dict[str, Pipeline | models.TreeLearner]:
     return {
         "linear": models.pipeline(models.linear()),
-        "gradient_boosting": models.pipeline(models.booster("airport_month")),
+        "gradient_boosting": models.booster("airport_month"),
     }
 
 
@@ -46,9 +46,9 @@ def training_parts(flights: DataFrame, causes: DataFrame) -> tuple[DataFrame, Da
 
 def train_from_csv(
     spark: SparkSession, flights_dir: str, causes_dir: str, out: str,
-    pipelines: Mapping[str, Pipeline] | None = None, fit_rows: int | None = MAX_FIT_ROWS,
+    pipelines: Mapping[str, Pipeline | models.TreeLearner] | None = None,
 ) -> Trained:
-    """Fits every pipeline, keeps the one with the least MAE on the late flights.
+    """Fits every learner to all early flights, keeps the one with the least MAE on the late ones.
 
     Written below ``out``: ``model``, ``lookup_airport``, ``lookup_carrier``,
     ``flight_lookup`` (usual route and hour of each flight number) and ``metadata``.
@@ -60,7 +60,7 @@ def train_from_csv(
         raise FileNotFoundError(f"no delay-cause report below {causes_dir}")
     causes = settled(cleaning.clean_delay_cause(csv_files.typed_delay_cause(raw)))
     train, test = training_parts(flights, causes)
-    fitted, measured = models.train_and_evaluate(pipelines or candidates(), train, test, fit_rows)
+    fitted, measured = models.train_and_evaluate(pipelines or candidates(), train, test)
     measured = settled(measured)
     best = models.select_best(measured).first()["model"]
     history = settled(metrics.avg_delay_minutes_safe(metrics.delay_rates_safe(causes)))

@@ -8,6 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaykit.operators import trees
+from delaykit.sources.tables import exists
+
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
@@ -69,13 +72,16 @@ def write_history(history: DataFrame, path: str, fmt: str = "csv") -> str:
     return write_table(history, path, fmt)
 
 
-def save_model(model: PipelineModel, path: str) -> str:
+def save_model(model: PipelineModel | trees.TreeModel, path: str) -> str:
+    if isinstance(model, trees.TreeModel):
+        return trees.save(SparkSession.active(), model, path)
     model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | trees.TreeModel:
+    spark = SparkSession.active()
+    return trees.load(spark, path) if exists(spark, f"{path}/trees") else PipelineModel.load(path)
 
 
 def save_suggestions(report: DataFrame, path: str) -> str:

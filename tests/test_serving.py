@@ -13,7 +13,7 @@ from delaykit import constants as K
 from delaykit.operators import history as past
 from delaykit.operators import models, scoring
 from delaykit.plans import CATALOG
-from delaykit.plans.model_queries import _predictions, airport_model, bounded
+from delaykit.plans.model_queries import _predictions, airport_model
 from delaykit.session import shared_root
 
 SF = "/root/testdata/sf0.001"
@@ -25,7 +25,7 @@ def mean_error(spark):
     return models.regression_metrics(_predictions(spark, SF)).first()["mae"]
 
 
-@pytest.mark.parametrize("name", ["train_linear", "train_gbt"])
+@pytest.mark.parametrize("name", ["train_linear", "train_gbt", "train_gbt_weighted", "train_forest"])
 def test_flight_models_beat_the_historical_mean(spark, mean_error, name):
     assert CATALOG[name].run(spark, SF).first()["mae"] <= mean_error
 
@@ -65,11 +65,6 @@ def test_one_flight_on_two_dates_is_two_predictions(spark):
     assert past.history_dedup(past.with_history_key(df)).count() == 2
 
 
-def test_bounded_rows_are_always_the_same(spark):
-    df = spark.range(500)
-    assert {r.id for r in bounded(df, 50).collect()} == {r.id for r in bounded(df.repartition(7), 50).collect()}
-
-
 def test_a_cluster_needs_a_shared_folder():
     class Context:
         master = "spark://machine:7077"
