@@ -10,6 +10,7 @@ target proportions.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,13 +88,17 @@ def find_exponent(
 
 
 def _drawn(
-    df: DataFrame, id_col: str, text_col: str, source_col: str, n_tokens, options: dict, block_tokens: int, seed: int
+    df: DataFrame, id_col: str, text_col: str, source_col: str, n_tokens, options: dict, block_tokens: int, seed: int,
+    hashed: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Per drawn copy: ``id``, ``text_hash``, ``source``, ``n_tokens``, ``epoch``, ``block``."""
+    """Per drawn copy: ``id``, ``text_hash``, ``source``, ``n_tokens``, ``epoch``, ``block``.
+
+    The hash tells rows with one id apart: that of the text, or of the columns ``hashed``.
+    """
     rows = df.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
-        F.xxhash64(text_col).alias("text_hash"),
+        F.xxhash64(*(hashed or [text_col])).alias("text_hash"),
         (word_count(text_col) if n_tokens is None else n_tokens).alias("n_tokens"),
     )
     # Null and a real name must not meet in a key: a struct tells them apart.
@@ -174,13 +179,20 @@ def mixed_documents(
     seed: int = 17,
     **options,
 ) -> DataFrame:
-    """The rows of ``df`` with all their columns, each as often as ``mix`` draws it."""
-    drawn = _drawn(df, id_col, text_col, source_col, None, options, 1_000_000, seed)
-    draws = drawn.groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash")).agg(
-        F.count(F.lit(1)).alias("_draws")
+    """The rows of ``df`` with all their columns, each as often as ``mix`` draws it.
+
+    Rows with one id that differ in any column are drawn each for itself; rows travel as
+    one struct, so their columns' names cannot clash.
+    """
+    drawn = _drawn(df, id_col, text_col, source_col, None, options, 1_000_000, seed, df.columns)
+    draws = drawn.groupBy(F.col("id").alias("drawn_id"), F.col("text_hash").alias("drawn_hash")).agg(
+        F.count(F.lit(1)).alias("draws")
+    )
+    whole = df.select(
+        F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(*df.columns).alias("hash")
     )
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_text_hash"))
-    # Rows alike in id and text share their draws: the first stands for all of them.
-    first = F.row_number().over(Window.partitionBy("_id", "_text_hash").orderBy("_text_hash"))
-    matched = df.join(draws, same).withColumn("_first", first).where("_first = 1")
-    return matched.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_draws")))).select(*df.columns)
+    same = F.col("id").eqNullSafe(F.col("drawn_id")) & (F.col("hash") == F.col("drawn_hash"))
+    # Rows alike in all columns share their draws: one of them stands for all.
+    copies = Window.partitionBy("drawn_id", "drawn_hash").orderBy("row")
+    matched = whole.join(draws, same).withColumn("copy", F.row_number().over(copies)).where("copy = 1")
+    return matched.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("draws")))).select("row.*")

@@ -21,13 +21,16 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaykit.llm.caches import WordMemo
 from delaykit.llm.shared import texts_of
 
 MARK = "▁"
 # Fixed value: what an unknown character costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
 NEVER = float("-inf")
+# Parts of up to so many bytes are stepped through together, and how many at once.
+WIDTHS, TOGETHER = (8, 16, 48), 1 << 14
+# Characters of the texts encoded together, and parts remembered in a generation.
+BATCH_CHARACTERS, REMEMBERED = 1 << 19, 250_000
 
 
 class Vocabulary(NamedTuple):
@@ -97,20 +100,29 @@ class DoubleArrayTrie:
 
 
 class PieceCoder:
+    """Encodes and decodes with one vocabulary; markers are spaces here, one byte each."""
+
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.matched = [i for i, usable in enumerate(vocabulary.usable) if usable and vocabulary.pieces[i]]
-        names = [vocabulary.pieces[i] for i in self.matched]
+        names = [vocabulary.pieces[i].replace(MARK, " ") for i in self.matched]
         self.trie = DoubleArrayTrie([n.encode() for n in names])
-        self.scores = [vocabulary.scores[i] for i in self.matched]
-        self.unknown_score = min(self.scores, default=0.0) - UNKNOWN_PENALTY
+        scores = [vocabulary.scores[i] for i in self.matched]
+        # By state of the trie: the score and the id of the piece that ends there.
+        self.scores = [scores[v] if v >= 0 else None for v in self.trie.value]
+        self.ids = [self.matched[v] if v >= 0 else -1 for v in self.trie.value]
+        self.unknown_score = min(scores, default=0.0) - UNKNOWN_PENALTY
         # The best cover of a text is made of those of its parts where no piece spans two
         # parts: before a run of markers, and around a line feed.
-        if any(MARK in n.lstrip(MARK) or "\n" in n for n in names):
+        if any(" " in n.lstrip(" ") or "\n" in n for n in names):
             self.parts = re.compile(r"(?s).+")
         else:
-            self.parts = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-        self.memo = WordMemo(self.part, 300_000)
+            self.parts = re.compile(" *[^ \n]+| +|\n")
+        self.base, self.check = np.array(self.trie.base, dtype=np.int32), np.array(self.trie.check, dtype=np.int32)
+        self.score_of = np.array([NEVER if x is None else x for x in self.scores])
+        self.id_of = np.array(self.ids, dtype=np.int32)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         first = vocabulary.first_byte
         self.byte_ids = range(first, first + 256) if first >= 0 else range(0)
         self.written = [
@@ -120,53 +132,148 @@ class PieceCoder:
 
     def part(self, part: str) -> bytes:
         """The ids of the best cover, as unsigned 32-bit little-endian integers."""
-        base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.scores
-        data = part.encode()
+        base, check, scores = self.trie.base, self.trie.check, self.scores
+        data = part.replace(MARK, " ").encode()
         end = len(data)
+        plain = end == len(part)
         best = [NEVER] * (end + 1)
-        back: list[tuple[int, int]] = [(0, -1)] * (end + 1)
+        origin = [0] * (end + 1)
+        ending = [-1] * (end + 1)
         best[0] = 0.0
         at = 0
         while at < end:
-            lead, here = data[at], best[at]
-            width = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-            state, stop, covered = 0, at, False
-            while stop < end:
-                following = base[state] + data[stop]
+            here, lead = best[at], data[at]
+            width = 1 if plain or lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+            state, stop, character = 0, at, at + width
+            covered = False
+            for byte in data[at:]:
+                following = base[state] + byte
                 if check[following] != state:
                     break
                 state = following
                 stop += 1
-                match = value[state]
-                if match >= 0:
-                    covered = covered or stop - at == width
-                    total = here + scores[match]
+                score = scores[state]
+                if score is not None:
+                    if stop == character:
+                        covered = True
+                    total = here + score
                     if total > best[stop]:
                         best[stop] = total
-                        back[stop] = (at, match)
+                        origin[stop] = at
+                        ending[stop] = state
             if not covered:
-                stop, total = at + width, here + self.unknown_score
-                if total > best[stop]:
-                    best[stop] = total
-                    back[stop] = (at, -1)
-            at += width
+                total = here + self.unknown_score
+                if total > best[character]:
+                    best[character] = total
+                    origin[character] = at
+                    ending[character] = -1
+            at = character
         ids: list[int] = []
         while at > 0:
-            start, match = back[at]
-            if match >= 0:
-                ids.append(self.matched[match])
+            start, state = origin[at], ending[at]
+            if state >= 0:
+                ids.append(self.ids[state])
             elif self.byte_ids:
-                ids.extend(self.byte_ids[b] for b in reversed(data[start:at]))
+                unknown = data[start:at].replace(b" ", MARK.encode())
+                ids.extend(self.byte_ids[b] for b in reversed(unknown))
             else:
                 ids.append(self.vocabulary.unknown)
             at = start
         return struct.pack(f"<{len(ids)}I", *reversed(ids))
 
+    def covers(self, parts: list[bytes], width: int) -> list[bytes | None]:
+        """``part`` for parts of at most ``width`` bytes, all stepped through together.
+
+        The same steps in the same order, so ties fall alike. None where the best cover has
+        an unknown character.
+        """
+        n = len(parts)
+        sizes = np.fromiter(map(len, parts), dtype=np.int32, count=n)
+        data = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in parts]), dtype=np.uint8)
+        data = np.ascontiguousarray(data.reshape(n, width).T).astype(np.int32)
+        best = np.full((width + 1, n), NEVER)
+        best[0] = 0.0
+        origin = np.zeros((width + 1, n), dtype=np.int16)
+        ending = np.full((width + 1, n), -1, dtype=np.int32)
+        for at in range(width):
+            alive = np.flatnonzero((best[at] > NEVER) & (sizes > at))
+            if not len(alive):
+                continue
+            here, lead = best[at, alive], data[at, alive]
+            after = at + 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+            covered = np.zeros(len(alive), dtype=bool)
+            place = np.arange(len(alive))
+            state = np.zeros(len(alive), dtype=np.int32)
+            for stop in range(at + 1, width + 1):
+                rows = alive[place]
+                following = self.base[state] + data[stop - 1, rows]
+                kept = np.flatnonzero((self.check[following] == state) & (sizes[rows] >= stop))
+                if not len(kept):
+                    break
+                place, state, rows = place[kept], following[kept], rows[kept]
+                score = self.score_of[state]
+                covered[place[(score > NEVER) & (after[place] == stop)]] = True
+                total = here[place] + score
+                better = np.flatnonzero(total > best[stop, rows])
+                rows = rows[better]
+                best[stop, rows], origin[stop, rows], ending[stop, rows] = total[better], at, state[better]
+            rows, stop = alive[~covered], after[~covered]
+            total = here[~covered] + self.unknown_score
+            better = total > best[stop, rows]
+            rows, stop = rows[better], stop[better]
+            best[stop, rows], origin[stop, rows], ending[stop, rows] = total[better], at, -1
+        # From the ends of the parts back to their beginnings.
+        every, at, steps = np.arange(n), sizes.astype(np.int64), []
+        known, counts = np.ones(n, dtype=bool), np.zeros(n, dtype=np.int64)
+        while (at > 0).any():
+            state = ending[at, every]
+            inside = at > 0
+            known &= (state >= 0) | ~inside
+            steps.append(self.id_of[state])
+            counts += inside
+            at = np.where(inside, origin[at, every], 0)
+        deepest = len(steps)
+        whole = np.column_stack(steps[::-1]).astype("<u4").tobytes()
+        return [
+            whole[4 * (i * deepest + deepest - c) : 4 * (i + 1) * deepest] if k else None
+            for i, (c, k) in enumerate(zip(counts.tolist(), known.tolist()))
+        ]
+
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """``part`` of each: short ones together, the others one by one."""
+        data = [p.encode() for p in parts]
+        found: list[bytes | None] = [None] * len(parts)
+        low = 0
+        for width in WIDTHS:
+            own = [i for i, d in enumerate(data) if low < len(d) <= width]
+            for start in range(0, len(own), TOGETHER):
+                group = own[start : start + TOGETHER]
+                for i, ids in zip(group, self.covers([data[i] for i in group], width)):
+                    found[i] = ids
+            low = width
+        return [self.part(p) if ids is None else ids for p, ids in zip(parts, found)]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Parts seen lately are remembered, in two generations."""
+        rows = [self.parts.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        young, old, fresh = self.young, self.old, []
+        for part in set().union(*rows).difference(young):
+            ids = old.get(part)
+            if ids is None:
+                fresh.append(part)
+            else:
+                young[part] = ids
+        young.update(zip(fresh, self.encode_parts(fresh)))
+        out = [b"".join(map(young.__getitem__, row)) for row in rows]
+        for part in fresh:
+            if len(part) > WIDTHS[-1]:
+                del young[part]
+        return out
+
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        parts = self.parts.findall(MARK + text.replace(" ", MARK))
-        return b"".join(map(self.memo.__getitem__, parts))
+        return self.encode_all([text])[0]
 
     def decode(self, packed: bytes) -> str:
         if not packed:
@@ -194,7 +301,14 @@ def encoded(spark: SparkSession, text_col: str, model_path: str) -> Column:
     @F.pandas_udf("binary")
     def encode(texts: pd.Series) -> pd.Series:
         coder = _coder(sent.value)
-        return pd.Series([coder.encode(texts_of(t)) for t in texts], dtype=object)
+        out, batch, size = [], [], 0
+        for t in map(texts_of, texts):
+            if batch and size + len(t) > BATCH_CHARACTERS:
+                out += coder.encode_all(batch)
+                batch, size = [], 0
+            batch.append(t)
+            size += len(t)
+        return pd.Series(out + coder.encode_all(batch), dtype=object)
 
     return encode(F.col(text_col))
 

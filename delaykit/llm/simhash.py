@@ -163,17 +163,23 @@ def keep_one(
     """The rows of ``df`` with all their columns, one for each component of near-duplicates.
 
     The row with the smallest id stays, null ids last; of several rows with that id the one
-    with the smallest text hash, and of equal rows any one.
+    with the smallest text hash, and of those the smallest by all columns.
     """
     return keep_first(df, _grouped(df, id_col, text_col, words, max_bits), id_col, text_col)
 
 
 def keep_first(df: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``df`` that come first in each component of ``rows`` (``id``, ``text_hash``, ``component``)."""
+    """The rows of ``df`` that come first in each component of ``rows`` (``id``, ``text_hash``, ``component``).
+
+    Rows of ``df`` travel as one struct, so their columns' names cannot clash.
+    """
     first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("text_hash"))).alias("first")
     kept = rows.groupBy("component").agg(first)
-    kept = kept.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_text_hash"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_text_hash"))
-    copies = Window.partitionBy("_id", "_text_hash").orderBy("_text_hash")
-    matched = df.join(kept, same).withColumn("_copy", F.row_number().over(copies))
-    return matched.where("_copy = 1").select(*df.columns)
+    kept = kept.select(F.col("first.id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    whole = df.select(
+        F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash")
+    )
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    copies = Window.partitionBy("kept_id", "kept_hash").orderBy("row")
+    matched = whole.join(kept, same).withColumn("copy", F.row_number().over(copies))
+    return matched.where("copy = 1").select("row.*")

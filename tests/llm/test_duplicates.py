@@ -84,3 +84,13 @@ def test_near_duplicates_of_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     found = simhash.near_duplicates(spark.read.parquet(f"{SF}/documents.parquet")).collect()
     assert plain(found) == plain(groups_by_force(rows))
+
+
+def test_one_of_rows_that_differ_elsewhere_whatever_the_names(spark):
+    rows = [(1, "a b c", "en", 9, 8, 7), (1, "a b c", "de", 1, 2, 3), (2, "a b c", "fr", 0, 0, 0), (3, "x y z w", "en", 5, 5, 5)]
+    names = "doc_id long, text string, lang string, _id int, _copy int, _text_hash int"
+    kept = simhash.keep_one(spark.createDataFrame(rows, names))
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[1], rows[3]]
+    hot = spark.range(3_000).selectExpr("if(id % 3 = 0, 0, id) AS doc_id", "if(id % 3 = 0, 'one two three', concat('w', id, ' x y', id)) AS text", "id AS copy", "id AS row")
+    found = simhash.keep_one(hot)
+    assert found.where("doc_id = 0").collect() == [(0, "one two three", 0, 0)] and found.columns == hot.columns

@@ -4,11 +4,13 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import public_tokenizers
 import pytest
-from delaykit.llm import ann, learning, quality, toxicity
+from delaykit.llm import ann, learning, pieces, quality, rules, toxicity
 from delaykit.llm.queries import QUERIES
 from helpers import AWKWARD, LABELS, SF, documents
 from pyspark.sql import functions as F
+from test_duplicates import groups_by_force
 
 SF_LEARN = "/root/testdata/sf0.01"
 
@@ -131,16 +133,33 @@ def test_nearest_with_copies_and_unusable_vectors(spark):
 
 def test_pipeline(spark, labels):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns = docs.columns
+    columns, given, kept = docs.columns, {}, {}
     for name, stage in corpus_pipeline.STAGES:
         before = docs
         docs = stage(spark, before, SF).cache()
         assert docs.count() > 0
         if name != "encoding":
             assert docs.columns == columns
+            given[name], kept[name] = before.collect(), docs.collect()
     assert set(docs.columns) == {"doc_id", "ids", "n_pieces", "ids_crc32"}
     assert corpus_pipeline.run(spark, SF).count() == docs.count()
 
+    def ids(rows):
+        return sorted(r.doc_id for r in rows)
+
+    # What each stage keeps of its own input, worked out beside it.
+    whole = spark.read.parquet(f"{SF}/documents.parquet")
+    good = quality.score_documents(whole, spark.read.parquet(f"{SF}/labels.parquet")).where("predicted = 1")
+    assert ids(kept["quality classifier"]) == ids(good.collect())
+    passed = rules.host_rules(spark.createDataFrame(given["quality rules"], whole.schema))
+    assert ids(kept["quality rules"]) == ids(passed.where("kept").collect())
+    groups = groups_by_force([(r.doc_id, r.text) for r in given["near duplicates"]])
+    assert ids(kept["near duplicates"]) == sorted({c for _, _, c in groups})
+    assert set(kept["source mix"]) == set(given["source mix"])
+    coder = pieces.PieceCoder(pieces.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
+    wanted = sorted((r.doc_id, coder.encode(r.text or "")) for r in kept["source mix"])
+    assert sorted((r.doc_id, bytes(r.ids)) for r in docs.collect()) == wanted
+
 
 def test_pipeline_of_no_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
