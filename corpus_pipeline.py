@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaykit.llm import jaccard, mixing, pieces, quality, rules
+from delaykit.llm import mixing, pieces, quality, rules, simhash
 from delaykit.llm.shared import send_code, stored
 
 
@@ -25,9 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (0.8 of five-word shingles) stays."""
+    """One document of each group whose SimHash fingerprints of three-word shingles lie within 3 bits stays."""
     send_code(spark)
-    return jaccard.keep_one(docs)
+    return simhash.keep_one(docs, words=3, max_bits=3)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
