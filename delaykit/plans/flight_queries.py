@@ -398,17 +398,20 @@ def _(spark, path):
     return summaries.flight_lookup_mode(clean(spark, path))
 
 
+_HISTORY = K.HISTORY_ORIGIN + K.HISTORY_DEST
+
+
 @query(
     "fill_missing_features",
     with_views(
         "enr",
-        f"SELECT {_LIST}, {each('coalesce({}, 0.0E0) AS {}', list(K.HISTORY_ORIGIN))}, 0.0E0 AS extra FROM enr",
+        f"SELECT {_LIST}, {each('coalesce({}, 0.0E0) AS {}', list(_HISTORY))}, 0.0E0 AS extra FROM enr",
     ),
-    ["DEP_DELAY", "DISTANCE", *K.HISTORY_ORIGIN],
+    ["DEP_DELAY", "DISTANCE", *_HISTORY],
 )
 def _(spark, path):
-    filled = cleaning.fill_missing_features(enriched(spark, path), K.HISTORY_ORIGIN + ("extra",))
-    return filled.select(*FLIGHT, *K.HISTORY_ORIGIN, "extra")
+    filled = cleaning.fill_missing_features(enriched(spark, path), (*_HISTORY, "extra"))
+    return filled.select(*FLIGHT, *_HISTORY, "extra")
 
 
 # ---- splits and samples -----------------------------------------------------

@@ -167,9 +167,9 @@ def _(spark, path):
 def _histogram_sql(bins: int) -> str:
     each = " UNION ALL ".join(
         f"""SELECT '{c}' AS series, CAST(least({bins - 1}, floor(({c} - lo) / ((hi - lo) / {bins}))) + 1 AS BIGINT) AS bin,
-          lo, (hi - lo) / {bins} AS width, total FROM cf,
-          (SELECT min({c}) AS lo, max({c}) AS hi, count({c}) AS total FROM cf) b"""
-        for c in ("DEP_DELAY", "DISTANCE")
+          lo, (hi - lo) / {bins} AS width, total FROM pr,
+          (SELECT min({c}) AS lo, max({c}) AS hi, count({c}) AS total FROM pr) b"""
+        for c in ("DEP_DELAY", "predicted")
     )
     return f"""SELECT series, bin, count(*) AS n, min(lo + width * (bin - 1)) AS bin_start,
       count(*) / min(total * width) AS density FROM ({each}) h GROUP BY series, bin"""
@@ -177,9 +177,10 @@ def _histogram_sql(bins: int) -> str:
 
 for _bins in (20, 50):
 
-    @query(f"density_histogram_{_bins}", with_views("cf", _histogram_sql(_bins)), ["bin_start", "density"])
+    @query(f"density_histogram_{_bins}", with_views("cf", _histogram_sql(_bins), **_BY_ROUTE), ["bin_start", "density"])
     def _(spark, path, bins=_bins):
-        return models.density_histogram(clean(spark, path), ["DEP_DELAY", "DISTANCE"], bins)
+        """Actual and predicted delays of the test part."""
+        return models.density_histogram(settled(_predictions(spark, path)), [models.TARGET, "predicted"], bins)
 
 
 # ---- scoring ----------------------------------------------------------------

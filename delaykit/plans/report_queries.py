@@ -556,20 +556,20 @@ def _(spark, path):
 
 # ---- grid -------------------------------------------------------------------
 
-_GRID_HIST = ("total_delay_rate_origin", "avg_carrier_delay_origin", "total_delay_rate_dest", "avg_carrier_delay_dest")
+_GRID_ORIGIN = ", ".join(f"a.{c}_origin" for c in K.HISTORY)
+_GRID_DEST = ", ".join(f"c.{c}_origin AS {c}_dest" for c in K.HISTORY)
 
 
 @query(
     "expected_delay_grid",
     with_views(
         "dch la lc",
-        """SELECT CAST(h.v AS INT) AS dep_hour, CAST(d.v AS INT) AS dow, b.month,
+        f"""SELECT CAST(h.v AS INT) AS dep_hour, CAST(d.v AS INT) AS dow, b.month,
           CASE WHEN d.v >= 5 THEN 1 ELSE 0 END AS is_weekend,
-          b.airport || '-XXX' AS route, b.carrier AS OP_CARRIER,
+          {float(K.GRID_DISTANCE)}E0 AS DISTANCE, b.airport || '-XXX' AS route, b.airport AS ORIGIN, 'XXX' AS DEST, b.carrier AS OP_CARRIER,
           b.avg_delay_minutes AS route_avg_delay, a.avg_delay_minutes_origin AS origin_avg_delay,
           c.avg_delay_minutes_origin AS airline_avg_delay,
-          a.total_delay_rate_origin, a.avg_carrier_delay_origin,
-          c.total_delay_rate_origin AS total_delay_rate_dest, c.avg_carrier_delay_origin AS avg_carrier_delay_dest,
+          {_GRID_ORIGIN}, {_GRID_DEST},
           greatest(0.0E0, b.avg_delay_minutes
             * (CASE WHEN h.v IN (7, 8, 9, 17, 18, 19) THEN 1.2E0 WHEN h.v IN (22, 23, 0, 1, 2, 3, 4, 5) THEN 0.8E0 ELSE 1.0E0 END)
             * (CASE WHEN d.v >= 5 THEN 1.1E0 ELSE 1.0E0 END)
@@ -579,16 +579,13 @@ _GRID_HIST = ("total_delay_rate_origin", "avg_carrier_delay_origin", "total_dela
         b="""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY carrier, airport, month ORDER BY year) AS rn FROM dch) t
           WHERE rn = 1""",
     ),
-    (*K.ENCODINGS, *_GRID_HIST, "ARR_DELAY"),
+    (*K.ENCODINGS, *K.HISTORY_ORIGIN, *K.HISTORY_DEST, "ARR_DELAY"),
     digits=ROW_DIGITS,
 )
 def expected_delay_grid(spark, path):
     h = hist(spark, path)
     base = past.first_record_per_key(h, ("carrier", "airport", "month"))
-    grid = enrichment.expected_delay_grid(base, summaries.airport_lookup(h), summaries.carrier_lookup(h))
-    return grid.select(
-        "dep_hour", "dow", "month", "is_weekend", "route", "OP_CARRIER", *K.ENCODINGS, *_GRID_HIST, "ARR_DELAY"
-    )
+    return enrichment.expected_delay_grid(base, summaries.airport_lookup(h), summaries.carrier_lookup(h))
 
 
 @query(

@@ -1,9 +1,11 @@
+import os
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from delaykit.operators import models
+from delaykit.operators import enrichment
 from delaykit.sources import csv_files, sinks, tables
 
 
@@ -66,3 +68,27 @@ def test_run_summary_and_model(spark, tmp_path):
     sinks.save_model(fitted["linear"], str(tmp_path / "model"))
     again = models.scored(sinks.load_model(str(tmp_path / "model")), data)
     assert again.filter(F.abs(F.col("predicted") - F.col("DEP_DELAY")) > 1e-6).count() == 0
+
+
+def test_headers_with_commas_and_files_that_cannot_be_read(spark, tmp_path):
+    put(tmp_path, "a.csv", '"x, first","say ""y""",z\n1,2,3\n')
+    put(tmp_path, "b.csv", 'z,"x, first"\n6,4\n')
+    put(tmp_path, "blank.csv", "\n")
+    put(tmp_path, "long.csv", '"' + "x" * 70_000 + "\n")
+    os.symlink(tmp_path / "gone", tmp_path / "broken.csv")
+    got = csv_files.scan_csv_dir(spark, str(tmp_path))
+    assert set(got.columns) == {"x, first", 'say "y"', "z"}
+    assert sorted(r["x, first"] + r["z"] for r in got.collect()) == ["13", "46"]
+    left_out = {r["file"].split("/")[-1] for r in csv_files.unreadable_files(spark, str(tmp_path)).collect()}
+    assert left_out >= {"blank.csv", "long.csv"} and not left_out & {"a.csv", "b.csv"}
+
+
+def test_a_saved_route_is_there_once(spark, tmp_path):
+    for name in ("airport", "carrier"):
+        spark.range(1).write.parquet(str(tmp_path / f"lookup_{name}"))
+    rows = [("AA1", "ATL", "DEN", 100.0), ("AA2", "ATL", "DEN", 300.0), ("AA3", "DEN", "ATL", 5.0), ("AA4", None, "ATL", 5.0)]
+    spark.createDataFrame(rows, "FLIGHT string, ORIGIN string, DEST string, DISTANCE double").write.parquet(str(tmp_path / "flight_lookup"))
+    routes = tables.load_lookups(spark, str(tmp_path)).route
+    assert sorted(tuple(r) for r in routes.collect()) == [("ATL", "DEN", 200.0), ("DEN", "ATL", 5.0)]
+    requests = spark.createDataFrame([("ATL", "DEN"), ("X", "Y")], "origin string, dest string")
+    assert enrichment.route_lookup_default(requests, routes).count() == 2
