@@ -19,22 +19,26 @@ import hashlib
 import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaykit.llm.shared import stored, texts_of
-from delaykit.llm.token_counts import byte_letters
+from delaykit.llm.token_counts import WORDS, byte_letters
 
 MARK = "▁"
 # Texts are aligned together up to the first bound and kept together up to the second.
 BATCH_BYTES, BLOCK_BYTES = 1 << 20, 1 << 23
 # A group with more pairs than this is paired by its distinct ids.
 MANY = 1 << 12
+# Words remembered in a generation, and the longest of them.
+REMEMBERED, LONGEST = 200_000, 48
 
 
 class Side(NamedTuple):
@@ -62,6 +66,10 @@ class Tokenizers:
         names = [self.a_model.id_to_token(i) or "" for i in range(self.a_model.get_vocab_size(True))]
         # Special tokens are never emitted; their names may hold other letters.
         self.a = _side([bytes(value.get(c, 0) for c in name) for name in names])
+        # A word of the pattern is split into itself, so words can be encoded one by one.
+        self.words = regex.compile(WORDS)
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
         self.b_model = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.b = _side([self._piece(i) for i in range(self.b_model.get_piece_size())])
         widest = max(len(names), len(self.b.tokens))
@@ -75,13 +83,33 @@ class Tokenizers:
             return bytes([int(piece[3:-1], 16)])
         return piece.replace(MARK, " ").encode()
 
+    def _ids_of(self, text: str) -> list[int]:
+        """Ids of A; words seen lately are remembered, in two generations."""
+        found = self.words.findall(text)
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        young, old, fresh = self.young, self.old, []
+        for word in set(found).difference(young):
+            ids = old.get(word)
+            if ids is None:
+                fresh.append(word)
+            else:
+                young[word] = ids
+        for word, e in zip(fresh, self.a_model.encode_batch_fast(fresh, add_special_tokens=False)):
+            young[word] = e.ids
+        out = list(chain.from_iterable(map(young.__getitem__, found)))
+        for word in fresh:
+            if len(word) > LONGEST:
+                del young[word]
+        return out
+
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both; None for no text and where either does not give the text's bytes."""
         if not text:
             return None
         whole = " " + text
         data = whole.encode()
-        a = self.a_model.encode(whole, add_special_tokens=False).ids
+        a = self._ids_of(whole)
         b = self.b_model.encode(text)
         for ids, side in ((a, self.a), (b, self.b)):
             if b"".join(map(side.tokens.__getitem__, ids)) != data:
