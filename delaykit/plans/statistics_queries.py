@@ -26,25 +26,48 @@ def _(spark, path):
     return st.correlation_matrix(report(spark, path))
 
 
+# Terms of the series that the p-values are checked against.
+_TERMS = 400_000
+
+
+def _beta(columns: str, a: str, b: str, x: str, source: str) -> str:
+    """``columns`` of ``source`` and ``p_value``, the incomplete beta function by its power series."""
+    return f"""SELECT {columns}, p_value, CASE WHEN p_value < 0.05 THEN 'Yes' ELSE 'No' END AS significant FROM (
+      SELECT {columns}, CASE WHEN swapped THEN 1 - total ELSE total END AS p_value FROM (
+        SELECT {columns}, swapped,
+          sum(exp(a * ln(x) + b * ln(1 - x) + lgamma(a + b + k) - lgamma(a + 1 + k) - lgamma(b) + k * ln(x))) AS total
+        FROM (SELECT {columns}, swapped, CASE WHEN swapped THEN b ELSE a END AS a,
+            CASE WHEN swapped THEN a ELSE b END AS b, CASE WHEN swapped THEN 1 - x ELSE x END AS x
+          FROM (SELECT *, x > (a + 1) / (a + b + 2) AS swapped
+            FROM (SELECT *, {a} AS a, {b} AS b, {x} AS x FROM {source}) t1) t2) t3, range(0, {_TERMS}) r(k)
+        GROUP BY ALL) t4) t5"""
+
+
 _FACTORS = " UNION ALL ".join(
     f"SELECT '{f}' AS factor, count(*) AS n, corr({f}, {st.TARGET}) AS r FROM dcm" for f in st.FACTORS
 )
 
 
+_JUDGED = "SELECT factor, n, r AS corr, r * r AS r2, r * sqrt((n - 2) / (1 - r * r)) AS t_stat FROM f"
+
+
+@query("factor_significance", with_views("dcm", _JUDGED, f=_FACTORS), ["corr", "r2", "t_stat"])
+def _(spark, path):
+    return st.factor_significance(report(spark, path))
+
+
 @query(
-    "factor_significance",
+    "factor_pvalues",
     with_views(
         "dcm",
-        "SELECT factor, n, r AS corr, r * r AS r2, r * sqrt((n - 2) / (1 - r * r)) AS t_stat FROM f",
+        _beta(
+            "factor, n, corr, r2, t_stat", "(n - 2) / 2.0E0", "0.5E0", "(n - 2) / (n - 2 + t_stat * t_stat)", "judged"
+        ),
         f=_FACTORS,
+        judged=_JUDGED,
     ),
-    ["corr", "r2", "t_stat"],
+    ["corr", "r2", "t_stat", "p_value"],
 )
-def _(spark, path):
-    return st.factor_significance(report(spark, path))
-
-
-@query("factor_pvalues")
 def _(spark, path):
     return st.factor_pvalues(st.factor_significance(report(spark, path)))
 
@@ -85,22 +108,29 @@ def _(spark, path):
 _GROUPS = f"SELECT carrier_name AS g, count(*) AS n, avg({st.TARGET}) AS m, var_samp({st.TARGET}) AS v FROM dcm GROUP BY 1"
 
 
+_ANOVA = """SELECT count(*) - 1 AS df_between, CAST(sum(n) - count(*) AS BIGINT) AS df_within,
+  (sum(n * (m - grand) * (m - grand)) / (count(*) - 1)) / (sum((n - 1) * v) / (sum(n) - count(*))) AS f_stat
+FROM (SELECT *, sum(n * m) OVER () / sum(n) OVER () AS grand FROM g) t"""
+
+
+@query("anova_by_carrier", with_views("dcm", _ANOVA, g=_GROUPS), ["f_stat"])
+def _(spark, path):
+    return st.anova(report(spark, path))
+
+
 @query(
-    "anova_by_carrier",
+    "anova_by_carrier_pvalue",
     with_views(
         "dcm",
-        """SELECT count(*) - 1 AS df_between, CAST(sum(n) - count(*) AS BIGINT) AS df_within,
-          (sum(n * (m - grand) * (m - grand)) / (count(*) - 1)) / (sum((n - 1) * v) / (sum(n) - count(*))) AS f_stat
-        FROM (SELECT *, sum(n * m) OVER () / sum(n) OVER () AS grand FROM g) t""",
+        _beta(
+            "df_between, df_within, f_stat", "df_within / 2.0E0", "df_between / 2.0E0",
+            "df_within / (df_within + df_between * f_stat)", "tested",
+        ),
         g=_GROUPS,
+        tested=_ANOVA,
     ),
-    ["f_stat"],
+    ["f_stat", "p_value"],
 )
-def _(spark, path):
-    return st.anova(report(spark, path))
-
-
-@query("anova_by_carrier_pvalue")
 def _(spark, path):
     return st.anova_pvalue(st.anova(report(spark, path)))
 
@@ -116,21 +146,29 @@ _SIDES = {
 }
 
 
+_TTEST = """SELECT tn AS top_n, tm AS top_mean, ts AS top_std, bn AS bottom_n, bm AS bottom_mean, bs AS bottom_std,
+  tn + bn - 2 AS df, (tm - bm) / sqrt(pooled * (1.0E0 / tn + 1.0E0 / bn)) AS t_stat FROM s"""
+_TTEST_DOUBLES = ["top_mean", "top_std", "bottom_mean", "bottom_std", "t_stat"]
+
+
+@query("top_bottom_ttest", with_views("dcm", _TTEST, **_SIDES), _TTEST_DOUBLES)
+def _(spark, path):
+    return st.top_bottom_ttest(st.top_bottom_moments(report(spark, path)))
+
+
 @query(
-    "top_bottom_ttest",
+    "top_bottom_ttest_pvalue",
     with_views(
         "dcm",
-        """SELECT tn AS top_n, tm AS top_mean, ts AS top_std, bn AS bottom_n, bm AS bottom_mean, bs AS bottom_std,
-          tn + bn - 2 AS df, (tm - bm) / sqrt(pooled * (1.0E0 / tn + 1.0E0 / bn)) AS t_stat FROM s""",
+        _beta(
+            "top_n, top_mean, top_std, bottom_n, bottom_mean, bottom_std, df, t_stat",
+            "df / 2.0E0", "0.5E0", "df / (df + t_stat * t_stat)", "tested",
+        ),
         **_SIDES,
+        tested=_TTEST,
     ),
-    ["top_mean", "top_std", "bottom_mean", "bottom_std", "t_stat"],
+    [*_TTEST_DOUBLES, "p_value"],
 )
-def _(spark, path):
-    return st.top_bottom_ttest(st.top_bottom_moments(report(spark, path)))
-
-
-@query("top_bottom_ttest_pvalue")
 def _(spark, path):
     return st.ttest_pvalue(st.top_bottom_ttest(st.top_bottom_moments(report(spark, path))))
 
