@@ -1,15 +1,19 @@
 """Principal components and what they say about the features.
 
-The pass over the data is the covariance inside ``ml.feature.PCA``. Everything
+The pass over the data is the covariance inside ``ml.feature.PCA``, or for the wide
+encoded matrix a few products with a thin matrix. Everything
 after it works on loadings, one row per feature and component: their number
 depends on the columns of the table, never on its rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import pairwise
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -19,10 +23,13 @@ from pyspark.sql import functions as F
 from delaykit import constants as K
 from delaykit.functions import moments
 from delaykit.operators.features import fit_scale, scaled
+from delaykit.operators.lookups import settled
 from delaykit.operators.selection import top_per_key
 
 TOP_COMPONENTS = 5
 LEVELS = (90, 95, 99)
+# Entries multiplied at a time, and the widest space searched, in blocks of directions.
+BLOCK_ENTRIES, WIDEST = 1 << 18, 6
 # Below this a row of loadings is rounding noise, not a direction.
 NOISE = 1e-20
 
@@ -82,16 +89,126 @@ def pca_scores(df: DataFrame, components: Components, n: int = TOP_COMPONENTS) -
 
 
 def pca_report(encoded: DataFrame, k: int = 10, features: str = "features") -> DataFrame:
-    """Ratios and their total for the encoded training matrix."""
-    width = len(encoded.select(features).first()[0])
-    model = PCA(k=min(k, width), inputCol=features, outputCol="_scores").fit(encoded)
-    rows = [(i + 1, float(v)) for i, v in enumerate(model.explainedVariance.toArray())]
+    """Ratios and their total for the encoded training matrix; see ``leading_variances``."""
+    leading, total = leading_variances(encoded, k, features)
+    rows = [(i + 1, float(v) / total if total > 0 else None) for i, v in enumerate(leading)]
     table = encoded.sparkSession.createDataFrame(rows, "pc int, ratio double")
     return table.withColumn("n_components", F.lit(len(rows))).withColumn(
         "total_explained", F.sum("ratio").over(W.partitionBy())
     )
 
 
+def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of vectors, and the row, position and value of each of their entries."""
+    for frame in frames:
+        values = [np.asarray(v, dtype=np.float64) for v in frame["values"]]
+        places = [np.arange(len(v)) if i is None else i for i, v in zip(frame["indices"], values)]
+        lengths = np.array([len(v) for v in values], dtype=np.int64)
+        # Entries of whole rows, about ``BLOCK_ENTRIES`` at a time.
+        block = np.cumsum(lengths) // BLOCK_ENTRIES
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(values)]
+        for start, end in pairwise(cuts):
+            if start < end:
+                row = np.repeat(np.arange(end - start), lengths[start:end])
+                at = np.concatenate(places[start:end]).astype(np.int64)
+                yield end - start, row, at, np.concatenate(values[start:end])
+
+
+def _summed(entries: DataFrame, width: int, columns: int, add) -> np.ndarray:
+    """``add`` fills a matrix of ``width`` rows from each task's blocks; tasks are summed by Spark.
+
+    What reaches the driver is the sum: ``width`` times ``columns`` numbers, whatever the rows.
+    """
+    names = [f"c{i}" for i in range(columns)]
+
+    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.zeros((width, columns))
+        for block in _blocks(frames):
+            add(out, *block)
+        used = np.flatnonzero(out.any(axis=1))
+        yield pd.DataFrame(out[used], columns=names).assign(place=used)
+
+    schema = ", ".join([*[f"{n} double" for n in names], "place long"])
+    parts = entries.mapInPandas(partial, schema)
+    sums = parts.groupBy("place").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    out = np.zeros((width, columns))
+    out[sums["place"].to_numpy(dtype=np.int64)] = sums[names].to_numpy(dtype=np.float64)
+    return out
+
+
+def leading_variances(
+    encoded: DataFrame, k: int = 10, features: str = "features", tolerance: float = 1e-7, passes: int = 100
+) -> tuple[np.ndarray, float]:
+    """The ``k`` largest variances of the principal components, and the sum of all.
+
+    Block iteration from a random start: a pass multiplies the centred rows by a thin
+    matrix, and the next block is what the best directions so far leave over. Nothing of the
+    size of a covariance matrix is made, so the number of columns may be large; a thin
+    matrix is broadcast in each pass, ``columns * (k + 8)`` numbers. Rows without a vector are
+    left out; fewer columns than ``k`` give as many variances; no rows give none.
+    """
+    vector = F.unwrap_udt(features)
+    entries = settled(
+        encoded.where(F.col(features).isNotNull()).select(
+            F.coalesce(vector["size"], F.size(vector["values"])).alias("width"), vector["indices"].alias("indices"),
+            vector["values"].alias("values"),
+        )
+    )
+    n, width = entries.agg(F.count(F.lit(1)), F.max("width")).first()
+    entries = entries.drop("width")
+    if not n:
+        return np.zeros(0), 0.0
+
+    def powers(out, rows, row, at, value):
+        out[:, 0] += np.bincount(at, value, minlength=width)
+        out[:, 1] += np.bincount(at, value * value, minlength=width)
+
+    sums = _summed(entries, width, 2, powers)
+    mean = sums[:, 0] / n
+    total = float((sums[:, 1] - n * mean * mean).sum())
+    k = min(k, width)
+    block_width = min(k + 8, width)
+
+    def image(block: np.ndarray) -> np.ndarray:
+        """The centred rows' square matrix times ``block``."""
+        sent = entries.sparkSession.sparkContext.broadcast((block, mean @ block))
+
+        def multiply(out, rows, row, at, value):
+            thin, shift = sent.value
+            for j in range(thin.shape[1]):
+                seen = np.bincount(row, value * thin[at, j], minlength=rows) - shift[j]
+                out[:, j] += np.bincount(at, value * seen[row], minlength=width)
+
+        found = _summed(entries, width, block.shape[1], multiply)
+        sent.destroy()
+        return found
+
+    block = np.linalg.qr(np.random.default_rng(0).normal(size=(width, block_width)))[0]
+    basis = images = np.zeros((width, 0))
+    for _ in range(passes):
+        basis, images = np.hstack([basis, block]), np.hstack([images, image(block)])
+        small = basis.T @ images
+        values, turn = np.linalg.eigh((small + small.T) / 2)
+        values, turn = values[::-1][:block_width], turn[:, ::-1][:, :block_width]
+        best, moved = basis @ turn, images @ turn
+        left = moved - best * values
+        if np.linalg.norm(left[:, :k], axis=0).max() <= tolerance * max(values[0], 0.0):
+            break
+        if basis.shape[1] + block_width > WIDEST * block_width:
+            basis, images = best, moved
+        for _ in range(2):
+            left -= basis @ (basis.T @ left)
+        block, size, _ = np.linalg.svd(left, full_matrices=False)
+        block = block[:, size > 1e-13 * values[0]]
+        if not block.shape[1]:
+            break
+        block -= basis @ (basis.T @ block)
+        block = np.linalg.qr(block)[0]
+    else:
+        raise RuntimeError(f"the components have not settled after {passes} passes")
+    return np.maximum(values[:k], 0.0), total
+
+
 def explained_variance(variance: DataFrame) -> DataFrame:
     """Ratio, cumulative share and whether each level is reached, per component."""
     # One row per component.

@@ -1,7 +1,10 @@
 """Components and suggestions against published values."""
 
+import numpy as np
 import pytest
+from pyspark.ml.linalg import DenseVector, Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from delaykit.operators import pca, suggestions
 from delaykit.operators.engineered import engineer_all, suggestions_by_type
@@ -123,3 +126,48 @@ def test_greedy_groups(spark):
         ("mean", names, "medium"), ("sum", names, "low"),
     ]
     assert got[0]["new_feature_name"] == "avg_a_b_group"
+
+
+def dense(rows, width):
+    out = np.zeros((len(rows), width))
+    for i, row in enumerate(rows):
+        out[i, : len(row) if isinstance(row, DenseVector) else width] = row.toArray()
+    return out
+
+
+def exact_ratios(matrix, k):
+    centred = matrix - matrix.mean(axis=0)
+    # The rows' products have the variances of the columns'.
+    values = np.linalg.eigvalsh(centred @ centred.T)[::-1]
+    return values[:k] / (centred**2).sum()
+
+
+def sparse_rows(n, width, seed):
+    random_ = np.random.default_rng(seed)
+    rows = []
+    for _ in range(n):
+        at = np.unique(random_.zipf(1.3, size=6) % (width - 2)) + 2
+        rows.append(Vectors.sparse(width, [0, 1, *at], [*random_.normal(3, (2, 1)), *np.ones(len(at))]))
+    return rows
+
+
+@pytest.mark.parametrize(("n", "width"), [(400, 40), (300, 70_000)])
+def test_report_of_a_wide_matrix(spark, n, width):
+    rows = sparse_rows(n, width, 4)
+    if width < 100:
+        rows[::3] = [DenseVector(r.toArray()) for r in rows[::3]]
+    df = spark.createDataFrame([(r, 1) for r in rows] + [(None, 2)], StructType().add("features", VectorUDT()).add("values", "integer"))
+    report = pca.pca_report(df.repartition(4)).orderBy("pc").collect()
+    wanted = exact_ratios(dense(rows, width), 10)
+    assert [r["ratio"] for r in report] == pytest.approx(wanted, abs=1e-6)
+    assert {r["n_components"] for r in report} == {10}
+    assert report[0]["total_explained"] == pytest.approx(wanted.sum(), abs=1e-5)
+
+
+def test_report_of_little(spark):
+    schema = StructType().add("features", VectorUDT())
+    few = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),), (Vectors.dense([2.0, 4.0]),)], schema)
+    assert [r["ratio"] for r in pca.pca_report(few).orderBy("pc").collect()] == pytest.approx([1.0, 0.0])
+    assert pca.pca_report(few.limit(0)).collect() == []
+    same = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 3, schema)
+    assert [r["ratio"] for r in pca.pca_report(same).collect()] == [None, None]
