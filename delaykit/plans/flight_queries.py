@@ -492,12 +492,12 @@ def _(spark, path):
 
 # ---- history ----------------------------------------------------------------
 
-_PAST = ["timestamp", "flight_number", "origin", "destination", "departure_hour", "predicted_delay", "history_key"]
-_PAST_SQL = ", ".join(_PAST)
+PAST = ["timestamp", "flight_number", "origin", "destination", "departure_hour", "predicted_delay", "history_key"]
+_PAST_SQL = ", ".join(PAST)
 
 
 def _past(spark, path):
-    return data.history(spark, path).select(*_PAST)
+    return data.history(spark, path).select(*PAST)
 
 
 for _kind, _where in (

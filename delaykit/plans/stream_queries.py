@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from delaykit.plans.catalog import CATALOG, query
-from delaykit.plans.flight_queries import lookups, route_table
-from delaykit.plans.views import with_views
+from delaykit.plans.flight_queries import PAST, lookups, route_table
 from delaykit.sources import testdata as data
 from delaykit.streaming.files import parquet_stream, shared_folder
 from delaykit.streaming.history import stream_history_dedup
@@ -22,21 +23,25 @@ def _(spark, path):
     return spark.read.parquet(f"{folder}/out")
 
 
-# Which of two equal keys in a batch stays is open; these columns follow from the key.
-_KEYED = [
-    "history_key", "flight_number", "airline_code", "origin", "destination", "flight_date", "departure_hour",
-    "confidence_mae",
-]
+def _closing(spark, path):
+    """One event a week after the last, so that the stream's time passes every session."""
+    events = data.table(spark, path, "events")
+    last = events.agg(F.max("ts").alias("ts")).where("ts IS NOT NULL")
+    columns = [
+        (F.col("ts") + F.expr("INTERVAL 7 DAYS") if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in events.schema
+    ]
+    folder = shared_folder(spark, "closing")
+    last.select(*columns).write.parquet(folder)
+    return spark.readStream.schema(events.schema).parquet(folder)
 
 
-@query(
-    "stream_history_dedup",
-    with_views("keyed", f"SELECT DISTINCT {', '.join(_KEYED)} FROM keyed"),
-)
+# The stream must give what the batch gives.
+@query("stream_history_dedup", CATALOG["history_dedup"].sql)
 def _(spark, path):
-    events = parquet_stream(spark, path, "events")
+    events = parquet_stream(spark, path, "events").union(_closing(spark, path))
     folder = shared_folder(spark, "history")
     # A key holds its date, so equal keys are less than a day apart.
-    unique = stream_history_dedup(data.history(spark, path, events), "1 day")
+    unique = stream_history_dedup(data.history(spark, path, events).select(*PAST), "1 day")
     start(unique, f"{folder}/out", f"{folder}/state").awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select(*_KEYED)
+    return spark.read.parquet(f"{folder}/out").select(*PAST)
