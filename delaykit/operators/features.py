@@ -181,10 +181,20 @@ def scaled(x: Column, mean: float | None, sd: float | None) -> Column:
 
 
 def label_codes(df: DataFrame, col: str) -> DataFrame:
-    """Alphabetical integer code of every value of a column."""
-    values = df.na.drop(subset=[col]).select(col).distinct()
-    # One row per distinct label, never one per data row.
-    return values.withColumn(f"{col}_code", (F.dense_rank().over(W.orderBy(col)) - 1).cast("int"))
+    """Alphabetical integer code of every value of a column.
+
+    The distinct labels are dealt into ranges; a label's code is its rank in its range
+    plus the labels of the ranges before, so no task holds them all.
+    """
+    labels = df.na.drop(subset=[col]).select(F.col(col).alias("label")).distinct()
+    # Written once: where the ranges are cut depends on a sample.
+    ranges = settled(labels.repartitionByRange("label").select("label", F.spark_partition_id().alias("range")))
+    sizes = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    # One row per range.
+    offsets = sizes.select("range", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("before"))
+    rank = F.row_number().over(W.partitionBy("range").orderBy("label")) - 1
+    placed = ranges.withColumn("rank", rank).join(offsets, "range")
+    return placed.select(F.col("label").alias(col), (F.col("before") + F.col("rank")).cast("int").alias(f"{col}_code"))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], fitted: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -211,7 +221,23 @@ def one_hot_encoder(cols: Sequence[str] = K.CATEGORICAL_FEATURES) -> Pipeline:
 
 
 def one_hot_encode(df: DataFrame, cols: Sequence[str] = K.CATEGORICAL_FEATURES) -> DataFrame:
-    return one_hot_encoder(cols).fit(df).transform(df)
+    """``{col}_index`` and indicator vectors ``{col}_hot``; null becomes all zeros.
+
+    The same rows as from ``one_hot_encoder``, but labels are numbered by ``label_codes``
+    and joined, so the driver only learns how many there are.
+    """
+    out = df
+    for c in cols:
+        codes = settled(label_codes(df, c).withColumnRenamed(f"{c}_code", f"{c}_index"))
+        n = codes.count()
+        index = F.coalesce(f"{c}_index", F.lit(n)).cast("double")
+        # The slot of rows without a label is the last one, which the encoder drops.
+        slots = {"ml_attr": {"type": "nominal", "num_vals": n + 1}}
+        out = lookup_join(out, codes, [c]).withColumn(f"{c}_index", index).withMetadata(f"{c}_index", slots)
+    encoder = OneHotEncoder(
+        inputCols=[f"{c}_index" for c in cols], outputCols=[f"{c}_hot" for c in cols], dropLast=True
+    )
+    return encoder.fit(out).transform(out)
 
 
 def preprocessor_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
@@ -229,3 +255,11 @@ def preprocessor_stages(numeric: Sequence[str], categorical: Sequence[str]) -> l
 
 def fit_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=preprocessor_stages(numeric, categorical)).fit(df)
+
+
+def encoded_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """The rows with ``features``, as from ``fit_preprocessor``, for any number of labels."""
+    hot = one_hot_encode(df, categorical) if categorical else df
+    inputs = ["scaled", *[f"{c}_hot" for c in categorical]]
+    stages = [*preprocessor_stages(numeric, ())[:2], VectorAssembler(inputCols=inputs, outputCol="features")]
+    return Pipeline(stages=stages).fit(hot).transform(hot)

@@ -46,8 +46,7 @@ def _(spark, path):
 @query("pca_report")
 def _(spark, path):
     table = settled(feature_table(spark, path))
-    encoder = features.fit_preprocessor(table, NUMERIC, K.CATEGORICAL_FEATURES)
-    return pca.pca_report(encoder.transform(table))
+    return pca.pca_report(features.encoded_features(table, NUMERIC, K.CATEGORICAL_FEATURES))
 
 
 @query("pca_scores")
