@@ -27,6 +27,11 @@ def labelled_sample(
     return picked[0].union(picked[1]), sizes
 
 
+def one_per_id(rows: DataFrame, col: str) -> DataFrame:
+    """Of rows ``_id``, ``_label`` and ``col`` one for each id, so that the sample's bound holds for rows."""
+    return rows.groupBy("_id", "_label").agg(F.min_by(col, F.xxhash64(col)).alias(col))
+
+
 def newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, steps: int = 12) -> np.ndarray:
     """Logistic regression without intercept: minimises the weighted loss plus a ridge."""
     w = np.zeros(x.shape[1])

@@ -64,10 +64,39 @@ def test_strengths_follow_preferences():
 
 
 def test_folding():
-    assert toxicity.fold("  ІdІ0t!!  L0$er, ｓｃｕｍ st​upid $lime 5 5th") == " idiot loser scum stupid slime th "
+    # Signs at the edge of a word are read both ways.
+    assert toxicity.fold("  ІdІ0t!!  L0$er, ｓｃｕｍ st​upid $lime 5 5th") == " idiot loser scum stupid slime th sth "
+    assert toxicity.fold("5tupid 1diot asshol3 as$! 2nd") == " tupid stupid diot idiot asshol asshole as ass nd "
     assert toxicity.fold("") == "  "
 
 
+def test_disguised_edges_are_hits():
+    lexicon = toxicity.Lexicon(((" stupid ", 1.0), (" idio", 2.0), (" asshole ", 3.0)))
+    found = lambda t: sorted(w for _, w in toxicity.hits(toxicity.fold(t), lexicon))
+    assert found("5tupid 1diot asshol3") == [1.0, 2.0, 3.0] and found("the 5th of 10 on 1st") == []
+
+
+def test_held_out_toxic_documents_are_found(spark, labels):
+    rows = QUERIES["op6_toxicity_scores"](spark, SF_LEARN).collect()
+    judged = [(labels[r.doc_id]["toxic"], r.predicted) for r in rows if r.held_out and r.doc_id in labels]
+    right = sum(a == b == 1 for a, b in judged)
+    # There are only 14 toxic ones here.
+    assert right >= 0.9 * sum(a for a, _ in judged) and right >= 0.8 * sum(b for _, b in judged)
+
+
+def test_repeated_ids_weigh_no_more(spark):
+    good = [(i, f"calm words about place {i} and thing {i % 7}") for i in range(60)]
+    bad = [(100 + i, f"you total grobnak number {i} of thing {i % 7}") for i in range(60)]
+    marks = spark.createDataFrame([(i, 1, 0) for i, _ in good] + [(i, 0, 1) for i, _ in bad], LABELS)
+    once = spark.createDataFrame(good + bad, "doc_id long, text string")
+    often = spark.createDataFrame(good + bad + good[:1] * 500 + bad[:1] * 500, "doc_id long, text string")
+    for part in (quality, toxicity):
+        scores = [
+            {r.doc_id: r.score for r in part.score_documents(df, marks).collect()} for df in (once, often)
+        ]
+        assert scores[0] == pytest.approx(scores[1])
+
+
 def test_hits_and_harmless_phrases():
     lexicon = toxicity.Lexicon(((" bad ", 2.0), (" vil", 1.0), (" vile ", 3.0)), (" not bad ", " bad luck "))
     found = lambda t: sorted(w for _, w in toxicity.hits(toxicity.fold(t), lexicon))
