@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from delaykit import constants as K
 from delaykit.functions import moments, numbers
+from delaykit.operators import wide
 
 Suggestion = Mapping
 CHANCE = 1e-20
@@ -219,6 +220,14 @@ def suggestions_by_type(report: DataFrame) -> dict[str, list[dict]]:
 def rank_new_features(df: DataFrame, features: Sequence[str], target: str = "DEP_DELAY") -> DataFrame:
     """Variance times absolute correlation with the target, largest first."""
     names = [f for f in features if f in df.columns]
+    if len(names) > wide.WIDE:
+        facts = wide.with_target(df, names, target).select(
+            "feature",
+            "variance",
+            F.abs("correlation").alias("correlation_with_target"),
+            (F.col("variance") * F.coalesce(F.abs("correlation"), F.lit(1.0))).alias("importance_score"),
+        )
+        return facts.orderBy(F.desc("importance_score"), "feature")
     totals = df.agg(
         *[F.var_samp(_num(f)).alias(f"v{i}") for i, f in enumerate(names)],
         *[F.abs(moments.correlation(_num(f), F.col(target))).alias(f"c{i}") for i, f in enumerate(names)],

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from delaykit.functions import moments
 from delaykit.functions.tails import f_pvalue, t_pvalue
+from delaykit.operators import wide
 from delaykit.operators.lookups import lookup_join, settled
 
 TARGET = "avg_delay_minutes"
@@ -33,6 +34,8 @@ def _long(totals: DataFrame, rows: Sequence[Column]) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = (TARGET,) + FACTORS) -> DataFrame:
     """Pearson correlation of every pair of columns, as (x, y, corr) rows."""
     names = sorted(cols)
+    if len(names) > wide.WIDE:
+        return wide.correlations(df, names)
     pairs = [(a, b) for a in names for b in names if a <= b]
     totals = df.agg(
         *[moments.correlation(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs]
