@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaykit import constants as K
 from delaykit.functions import codes, numbers
+from delaykit.operators.lookups import lookup_join
 
 
 class MissingColumns(ValueError):
@@ -101,21 +102,61 @@ def filter_hub_routes(df: DataFrame, hubs: Iterable[str] = K.MAJOR_HUBS) -> Data
     )
 
 
-def profile_table(df: DataFrame) -> DataFrame:
-    """Position, name, type, rows and filled rows of each column, in one pass."""
-    filled = [F.count(F.col(f"`{c}`")).alias(f"_f{i}") for i, c in enumerate(df.columns)]
-    totals = df.agg(F.count(F.lit(1)).alias("_rows"), *filled)
-    entries = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column_name"),
-            F.lit(kind).alias("data_type"),
-            F.col("_rows").alias("n_rows"),
-            F.col(f"_f{i}").alias("n_filled"),
+def _as_text(name: str, kind: T.DataType) -> Column:
+    """A text that is equal for equal values of the type."""
+    value = F.col(f"`{name}`")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (value + F.lit(0.0).cast(kind)).cast("string")  # one zero
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(value)
+    return value.cast("string")
+
+
+def profile_table(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """Position, name, type, rows, filled rows, nulls and distinct values of each column.
+
+    One pass: every value is counted under the number of its column, so a frequent value leaves a
+    task once, but each distinct value is shuffled. With ``approximate`` a sketch per column takes
+    their place and nothing but sketches is shuffled. A table without rows has zeros.
+    """
+    fields = [(i, f.name, f.dataType) for i, f in enumerate(df.schema.fields)]
+    if not fields:
+        raise ValueError("a table without columns has no profile")
+    if approximate:
+        totals = df.agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.count(F.col(f"`{c}`")).alias(f"_f{i}") for i, c, _ in fields],
+            *[F.approx_count_distinct(_as_text(c, kind)).alias(f"_d{i}") for i, c, kind in fields],
         )
-        for i, (c, kind) in enumerate(df.dtypes)
-    ]
-    return totals.select(F.inline(F.array(*entries)))
+        counts = totals.select(F.inline(F.array(*[
+            F.struct(
+                F.lit(i).alias("position"), F.col("_rows").alias("n_rows"),
+                F.col(f"_f{i}").alias("n_filled"), F.col(f"_d{i}").alias("n_distinct"),
+            )
+            for i, _, _ in fields
+        ])))
+    else:
+        values = df.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("position"), _as_text(c, kind).alias("value")) for i, c, kind in fields
+        ])))
+        counts = values.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("position").agg(
+            F.sum("n").alias("n_rows"),
+            F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("n_filled"),
+            F.count("value").alias("n_distinct"),
+        )
+    columns = df.sparkSession.createDataFrame(
+        [(i, c, kind.simpleString()) for i, c, kind in fields],
+        "position int, column_name string, data_type string",
+    )
+    zero = F.lit(0).cast("bigint")
+    return lookup_join(columns, counts, ["position"]).select(
+        "position", "column_name", "data_type",
+        *[F.coalesce(F.col(c), zero).alias(c) for c in ("n_rows", "n_filled")],
+        F.coalesce(F.col("n_rows") - F.col("n_filled"), zero).alias("n_null"),
+        F.coalesce(F.col("n_distinct"), zero).alias("n_distinct"),
+    )
 
 
 def head(df: DataFrame, n: int = 5) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from delaykit import constants as K
 from delaykit.functions import moments, numbers
-from delaykit.operators import wide
+from delaykit.operators import pca, suggestions, wide
 
 Suggestion = Mapping
 CHANCE = 1e-20
@@ -217,6 +217,19 @@ def suggestions_by_type(report: DataFrame) -> dict[str, list[dict]]:
     return out
 
 
+def own_suggestions(df: DataFrame, features: Sequence[str]) -> dict[str, list[dict]]:
+    """What the components of the table's own columns suggest, by type."""
+    fitted = pca.pca_fit(df.select(*[f"`{f}`" for f in features]), list(features))
+    return suggestions_by_type(suggestions.suggestion_report(fitted.loadings, fitted.variance))
+
+
+def engineer_from_report(
+    df: DataFrame, features: Sequence[str], priority: str = "high", scale: RiskScale | None = None
+) -> DataFrame:
+    """``engineer_all`` with the suggestions of ``own_suggestions``."""
+    return engineer_all(df, own_suggestions(df, features), priority, scale)
+
+
 def rank_new_features(df: DataFrame, features: Sequence[str], target: str = "DEP_DELAY") -> DataFrame:
     """Variance times absolute correlation with the target, largest first."""
     names = [f for f in features if f in df.columns]

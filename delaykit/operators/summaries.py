@@ -18,6 +18,9 @@ from delaykit.operators.lookups import rename_all
 from delaykit.operators.selection import first_per_key
 
 
+SKETCH_SIZE = 14
+
+
 def total(col: str) -> Column:
     """Sum that is zero when every value is null."""
     return F.coalesce(F.sum(col), F.lit(0.0)).alias(col)
@@ -170,6 +173,47 @@ def dataset_kpis(metrics: DataFrame) -> DataFrame:
     )
 
 
+def monthly_sketches(metrics: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """One row per month to be stored: sums, and sketches of its airports and carriers.
+
+    Sketches are merged, so the distinct counts of any period follow from its months without the
+    rows. With 2^14 registers the error is below 1 % for many codes, and a few thousand are
+    counted all but exactly.
+    """
+    return metrics.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("arr_flights").alias("flights"),
+        F.sum("arr_del15").alias("delays"),
+        F.sum("avg_delay_minutes").alias("minutes_sum"),
+        F.count("avg_delay_minutes").alias("minutes_n"),
+        F.hll_sketch_agg("airport", size).alias("airports"),
+        F.hll_sketch_agg("carrier", size).alias("carriers"),
+    )
+
+
+def kpis_from_sketches(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``dataset_kpis`` of all months given, or of each group of them; distinct counts are estimates."""
+    return months.groupBy(*by).agg(
+        F.sum("n").alias("n_records"),
+        F.hll_sketch_estimate(F.hll_union_agg("airports")).alias("n_airports"),
+        F.hll_sketch_estimate(F.hll_union_agg("carriers")).alias("n_carriers"),
+        F.min("year").alias("min_year"),
+        F.max("year").alias("max_year"),
+        F.min("month").alias("min_month"),
+        F.max("month").alias("max_month"),
+        F.sum("flights").alias("total_flights"),
+        F.sum("delays").alias("total_delays"),
+        F.try_divide(F.sum("delays") * F.lit(100.0), F.sum("flights")).alias("delay_rate_pct"),
+        F.try_divide(F.sum("minutes_sum"), F.sum("minutes_n")).alias("mean_delay_minutes"),
+    )
+
+
+def kpis_of_period(months: DataFrame, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
+    """KPIs of the months from ``first`` to ``last``, both (year, month) and included."""
+    month = F.col("year") * 12 + F.col("month")
+    return kpis_from_sketches(months.filter(month.between(first[0] * 12 + first[1], last[0] * 12 + last[1])))
+
+
 def _group_means(df: DataFrame, key: str, value: str) -> DataFrame:
     return (
         df.na.drop(subset=[key])

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from delaykit import constants as K
-from delaykit.operators import engineered, features
+from delaykit.operators import engineered, features, statistics
+from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.flight_queries import clean, enriched, lookups, route_table
 from delaykit.plans.views import each, with_views
 from delaykit.sources import testdata as data
 
 _FEATURES = ", ".join(K.FEATURES)
+NUMERIC = list(K.NUMERIC_FEATURES + K.HISTORY_ORIGIN + K.HISTORY_DEST)
 _DOUBLES = ["DISTANCE", *K.ENCODINGS, *K.HISTORY_ORIGIN, *K.HISTORY_DEST]
 
 
@@ -240,19 +242,37 @@ def _(spark, path):
 
 
 def engineered_table(spark, path):
-    return engineered.engineer_all(feature_table(spark, path), SUGGESTED, "high")
+    """The feature table with what its own components suggest, and the names of the new columns."""
+    table = settled(feature_table(spark, path))
+    built = engineered.engineer_from_report(table, NUMERIC)
+    return built, [c for c in built.columns if c not in table.columns]
 
 
-_NEW = [
-    "dow_X_is_weekend", "dow_X_airline_avg_delay", "is_weekend_X_airline_avg_delay", "dow_squared",
-    "composite_delay_risk_score", "temporal_risk_category", "route_congestion_score",
-    "delay_type_diversity_score", "avg_rates_group", "max_delays_group", "min_delays_group",
-]
+@query("engineer_all", digits=ROW_DIGITS)
+def _(spark, path):
+    built, new = engineered_table(spark, path)
+    return built.select(*_ID_COLS, *new)
 
 
-@query("engineer_all", digits=ROW_DIGITS)
+def _known(a: str, b: str) -> str:
+    return f"""CASE WHEN var_samp({a}) FILTER ({b} IS NOT NULL) > 0 AND var_samp({b}) FILTER ({a} IS NOT NULL) > 0
+      THEN corr({a}, {b}) END"""
+
+
+@query(
+    "feature_correlations",
+    with_views(
+        "feat",
+        "SELECT unnest(["
+        + ", ".join(
+            f"{{'x': '{a}', 'y': '{b}', 'corr': {_known(min(a, b), max(a, b))}}}" for a in NUMERIC for b in NUMERIC
+        )
+        + "], recursive := true) FROM feat",
+    ),
+    ["corr"],
+)
 def _(spark, path):
-    return engineered_table(spark, path).select(*_ID_COLS, *_NEW)
+    return statistics.correlation_matrix(feature_table(spark, path), NUMERIC)
 
 
 _RANKED = {

@@ -12,7 +12,7 @@ from delaykit import constants as K
 from delaykit.operators import engineered, features, models, scoring, splitting
 from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import ROW_DIGITS, query
-from delaykit.plans.feature_queries import SUGGESTED, engineered_table, feature_table
+from delaykit.plans.feature_queries import engineered_table, feature_table
 from delaykit.plans.flight_queries import FLIGHT, clean, enriched, lookups, route_table
 from delaykit.plans.report_queries import report
 from delaykit.plans.views import digest_sql, scenario, with_views
@@ -382,15 +382,15 @@ def _(spark, path):
 
 @query("engineered_impact")
 def _(spark, path):
-    built = engineered_table(spark, path)
-    new = [s["new_feature_name"] for group in SUGGESTED.values() for s in group]
-    return models.engineered_impact(engineered.rank_new_features(built, list(dict.fromkeys(new))))
+    built, new = engineered_table(spark, path)
+    numeric, _ = select_numeric(built.select(*new))
+    return models.engineered_impact(engineered.rank_new_features(built, numeric))
 
 
 @query("retrain_with_engineered")
 def _(spark, path):
     """Forest on every numeric column with the new features, against the plain ones."""
-    built = engineered_table(spark, path)
+    built, _ = engineered_table(spark, path)
     numeric, _ = select_numeric(built)
     plain = [c for c in numeric if c in K.FEATURES]
     parts = settled(splitting.random_split(settled(built.select(*numeric, "DEP_DELAY"))))

@@ -6,12 +6,10 @@ from delaykit import constants as K
 from delaykit.operators import features, pca, suggestions
 from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import query
-from delaykit.plans.feature_queries import feature_table
+from delaykit.plans.feature_queries import NUMERIC, feature_table
 from delaykit.plans.views import with_views
 from pyspark.sql import functions as F
 
-NUMERIC = list(K.NUMERIC_FEATURES + K.HISTORY_ORIGIN + K.HISTORY_DEST)
-
 
 def components(spark, path) -> pca.Components:
     return pca.pca_fit(feature_table(spark, path).select(*NUMERIC), NUMERIC)

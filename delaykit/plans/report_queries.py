@@ -94,7 +94,8 @@ _profile_cols = [
         "dirty_dc",
         " UNION ALL ".join(
             f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, "
-            f"count({number(c) if t == 'double' else c}) AS n_filled FROM dirty_dc"
+            f"count(x) AS n_filled, count(*) - count(x) AS n_null, count(DISTINCT x) AS n_distinct "
+            f"FROM (SELECT {number(c) if t == 'double' else c} AS x FROM dirty_dc) v{i}"
             for i, (c, t) in enumerate(_profile_cols)
         ),
     ),
@@ -303,6 +304,23 @@ def _(spark, path):
     return summaries.dataset_kpis(report(spark, path))
 
 
+@query(
+    "kpis_by_year",
+    with_views(
+        "dcm",
+        """SELECT year, count(*) AS n_records, count(DISTINCT airport) AS n_airports,
+        count(DISTINCT carrier) AS n_carriers, min(month) AS min_month, max(month) AS max_month,
+        sum(arr_flights) AS total_flights, sum(arr_del15) AS total_delays,
+        sum(arr_del15) * 100.0E0 / sum(arr_flights) AS delay_rate_pct,
+        avg(avg_delay_minutes) AS mean_delay_minutes FROM dcm GROUP BY year""",
+    ),
+    ["total_flights", "total_delays", "delay_rate_pct", "mean_delay_minutes"],
+)
+def _(spark, path):
+    months = summaries.monthly_sketches(report(spark, path))
+    return summaries.kpis_from_sketches(months, ["year"]).drop("min_year", "max_year")
+
+
 _AIR_RANK = "SELECT airport, avg(avg_delay_minutes) AS mean_delay FROM dcm GROUP BY airport"
 
 
