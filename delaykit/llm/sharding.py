@@ -1,10 +1,10 @@
 """Balanced label propagation: documents to shards of equal size with few cut links.
 
-Documents with equal texts are linked. Groups start in a row that the shards
-cut, so nearly all start whole; in each round,
+Documents with equal texts are linked. They start scattered: the documents of a group are dealt around
+over all shards. In each round,
 the documents of a group that lie in a smaller part move to the largest part of their
 group. A shard admits as many as it has room for and as leave it in the same round, so
-full shards exchange documents. When nothing moves any more, documents without links fill up each shard, so that the counts
+full shards exchange documents; groups that are whole, and parts that wait in vain, change places with movers that found no room. When nothing moves any more, documents without links fill up each shard, so that the counts
 differ by one at most.
 
 The state of a round is one row per group and shard that it touches, with a count: linked
@@ -25,18 +25,36 @@ SHARDS = 24
 QUIET_TURNS = 4
 
 
-def _first_parts(groups: DataFrame, shards: int) -> DataFrame:
-    """Groups one after another in a row that is cut into equal shards, so that each cut splits one at most."""
+def _scattered(groups: DataFrame, shards: int) -> DataFrame:
+    """The documents of all groups dealt around over the shards, so that a group starts in as many as it can.
+
+    A lap gives every shard one document and begins at a shard of its own; the last one, which ends early,
+    at shard 0. ``home`` is where a group's first document lies.
+    """
     n_groups, n_linked = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("members"), F.lit(0))).first()
-    placed = running_sums(groups, [], ["g1", "g2"], F.col("members"), "ahead", n_groups)
-    end, spans = 0, []
-    for s in range(shards):
-        n = n_linked // shards + (s < n_linked % shards)
-        spans.append(F.struct(F.lit(s).alias("shard"), F.lit(end).alias("low"), F.lit(end + n).alias("high")))
-        end += n
-    each = placed.withColumn("span", F.explode(F.array(*spans)))
-    n = F.least(F.col("ahead") + F.col("members"), F.col("span.high")) - F.greatest(F.col("ahead"), F.col("span.low"))
-    return each.select("g1", "g2", "span.shard", n.cast("long").alias("n")).where("n > 0")
+    dealt = running_sums(groups, [], ["g1", "g2"], F.col("members"), "ahead", n_groups)
+
+    def lap(place):
+        return F.floor(place / F.lit(shards))
+
+    def shard(place):
+        begin = F.when(lap(place) < n_linked // shards, F.xxhash64(lap(place))).otherwise(0)
+        return F.pmod(F.pmod(begin, F.lit(shards)) + place, F.lit(shards)).cast("int")
+
+    start, end = F.col("ahead"), F.col("ahead") + F.col("members")
+    first, last = lap(start), lap(end - 1)
+    single = F.lit(1).cast("long")
+    # A group has one document in every shard for each lap between its first and its last.
+    head = F.sequence(start, F.least(end, (first + 1) * shards) - 1)
+    tail = F.when(last > first, F.sequence(last * shards, end - 1)).otherwise(F.array().cast("array<bigint>"))
+    laps = F.greatest(last - first - 1, F.lit(0)).cast("long")
+    all_shards = F.when(laps > 0, F.sequence(F.lit(0), F.lit(shards - 1))).otherwise(F.array().cast("array<int>"))
+    pieces = F.concat(
+        F.transform(F.concat(head, tail), lambda p: F.struct(shard(p).alias("shard"), single.alias("k"))),
+        F.transform(all_shards, lambda s: F.struct(s.alias("shard"), laps.alias("k"))),
+    )
+    each = dealt.select("g1", "g2", "members", shard(start).alias("home"), F.inline(pieces))
+    return each.groupBy("g1", "g2", "members", "home", "shard").agg(F.sum("k").alias("n"))
 
 
 def flows(wanted: dict[tuple[int, int], int], room: dict[int, int]) -> dict[tuple[int, int], int]:
@@ -81,38 +99,91 @@ def flows(wanted: dict[tuple[int, int], int], room: dict[int, int]) -> dict[tupl
     return done
 
 
-def _movers(parts: DataFrame, target: dict[int, int], room: dict[int, int], turn: int) -> DataFrame:
-    """Parts that would move, with the ``target``: the largest part of their group.
+def _movers(
+    parts: DataFrame, target: dict[int, int], open_shards: list[int], turn: int, shards: int
+) -> DataFrame:
+    """Parts that would move, with the ``target``: the largest part of their group in ``open_shards``.
 
-    A part that fills its shard is no target; in odd turns only shards with room are. Ties are broken anew in every turn, so that
-    movers that found no partner try the other direction.
+    A part that fills its shard is no target. Ties go to the part
+    farthest around from the group's home at first, so that all move the same way round and exchange
+    places; later they are broken anew in every turn, so that movers that found no partner try another.
     """
     full = F.element_at(F.create_map(*[F.lit(x) for s in target for x in (s, target[s])]), F.col("shard"))
     by_group = Window.partitionBy("g1", "g2")
-    fair = F.xxhash64("g1", "g2", "shard", F.lit(turn))
+    around = F.pmod(F.col("shard") - F.col("home"), F.lit(shards)).cast("long")
+    fair = around if turn == 0 else F.xxhash64("g1", "g2", "shard", F.lit(turn))
     size = F.struct(F.col("n"), fair, F.col("shard"))
-    open_shards = [s for s, n in room.items() if n > 0 or turn % 2 == 0]
     fits = (F.col("n") < full) & F.col("shard").isin(open_shards)
     aimed = parts.withColumn("best", F.max(F.when(fits, size)).over(by_group))
     aimed = aimed.withColumn("target", F.col("best.shard"))
-    return aimed.where(F.col("target").isNotNull() & (size < F.col("best"))).select("g1", "g2", "shard", "target", "n")
+    return aimed.where(F.col("target").isNotNull() & (size < F.col("best"))).drop("best")
+
+
+def _admitted(queued: DataFrame, admits: dict[tuple[int, int], int]) -> DataFrame:
+    """``queued`` with ``k``, how many of a mover's documents the places of its shard and target take."""
+    pair = F.concat_ws(">", "shard", "target")
+    places = F.create_map(*[F.lit(x) for (s, t), k in admits.items() for x in (f"{s}>{t}", k)])
+    quota = F.coalesce(F.try_element_at(places, pair), F.lit(0)) if admits else F.lit(0)
+    k = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), quota - F.col("ahead")))
+    return queued.withColumn("k", k)
 
 
-def _round(parts: DataFrame, movers: DataFrame, admits: dict[tuple[int, int], int], groups: int) -> DataFrame:
-    """One round of moves; ``admits`` has the places for each shard and target.
+def _makeway(
+    parts: DataFrame, waiting: DataFrame, unmet: dict[tuple[int, int], int], turn: int, rows: int
+) -> DataFrame:
+    """Parts of full shards that change places with movers (``unmet``) from another shard, whole.
+
+    Whole groups may go, and movers that wait in vain (``waiting``), for neither adds a part to a group. Each
+    source of movers has a span of the shard's candidates, as long as its movers are many; those
+    that lie within a span go to that source. Waiting movers of one half of the shards only go to the
+    other half, so that none is taken twice in a round.
+    """
+    spans: dict[int, list[tuple[int, int, int]]] = {}
+    for (source, target), n in sorted(unmet.items()):
+        low = spans[target][-1][2] if target in spans else 0
+        spans.setdefault(target, []).append((source, low, low + n))
+    schema = "source int, target int, low long, high long"
+    rows_of_spans = [(s, t, low, high) for t, each in spans.items() for s, low, high in each]
+    wanted = parts.sparkSession.createDataFrame(rows_of_spans, schema)
+
+    def half(shard):
+        return F.pmod(F.xxhash64(shard, F.lit(turn)), F.lit(2))
+
+    full = F.col("shard").isin(list(spans))
+    candidates = parts.where((F.col("n") == F.col("members")) & full).unionByName(
+        waiting.where((half("shard") == 1) & full).select(*parts.columns)
+    )
+    queued = running_sums(candidates, ["shard"], ["g1", "g2"], F.col("n"), "ahead", rows)
+    queued = queued.withColumnRenamed("shard", "held_by")
+    within = (
+        (F.col("held_by") == F.col("target"))
+        & (F.col("ahead") >= F.col("low"))
+        & (F.col("ahead") + F.col("n") <= F.col("high"))
+        & ((F.col("n") == F.col("members")) | (half("source") == 0))
+    )
+    # A part lies in one span at most; there is a span per pair of shards.
+    gone = queued.join(F.broadcast(wanted), within)
+    return stored(
+        gone.select("g1", "g2", "members", "home", F.col("held_by").alias("shard"), F.col("source").alias("target"), "n"),
+        "swaps",
+    )
+
+
+def _round(
+    parts: DataFrame, queued: DataFrame, admits: dict[tuple[int, int], int], swaps: DataFrame | None
+) -> DataFrame:
+    """One round of moves; ``admits`` has the places for each shard and target, ``swaps`` parts that go whole.
 
     Movers queue by the hash of their group; the part at the end of the places is split.
     """
-    queued = running_sums(movers, ["shard", "target"], ["g1", "g2"], F.col("n"), "ahead", groups)
-    pair = F.concat_ws(">", "shard", "target")
-    places = F.create_map(*[F.lit(x) for (s, t), k in admits.items() for x in (f"{s}>{t}", k)])
-    quota = F.coalesce(F.try_element_at(places, pair), F.lit(0))
-    admitted = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), quota - F.col("ahead")))
-    taken = queued.select("g1", "g2", "shard", "target", admitted.alias("k")).where("k > 0")
-    change = taken.select("g1", "g2", "shard", (-F.col("k")).alias("n")).unionByName(
-        taken.select("g1", "g2", F.col("target").alias("shard"), F.col("k").alias("n"))
+    taken = _admitted(queued, admits).withColumn("n", F.col("k")).where("n > 0").drop("ahead", "k")
+    if swaps is not None:
+        taken = taken.unionByName(swaps)
+    group = ["g1", "g2", "members", "home"]
+    change = taken.select(*group, "shard", (-F.col("n")).alias("n")).unionByName(
+        taken.select(*group, F.col("target").alias("shard"), "n")
     )
-    moved = parts.unionByName(change).groupBy("g1", "g2", "shard").agg(F.sum("n").alias("n"))
+    moved = parts.unionByName(change).groupBy(*group, "shard").agg(F.sum("n").alias("n"))
     return stored(moved.where("n > 0"), "parts")
 
 
@@ -150,18 +221,36 @@ def shard_documents(
     linked = stored(rows.join(linked_groups, ["g1", "g2"]), "linked")
     target = {s: total // shards + (s < total % shards) for s in range(shards)}
 
-    parts = stored(_first_parts(linked_groups, shards), "parts")
+    parts = stored(_scattered(linked_groups, shards), "parts")
     held, n_parts = _held(parts, shards)
     # Every move makes the larger part of a group larger, so this ends.
     turn = quiet = 0
+    closed: set[int] = set()
     while quiet < QUIET_TURNS:
         room = {s: target[s] - held[s] for s in target}
-        movers = _movers(parts, target, room, turn)
-        found = movers.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
-        admits = flows({(r["shard"], r["target"]): r["n"] for r in found}, room)
-        quiet = 0 if admits else quiet + 1
+        # In odd turns only shards with room are targets, if there are any.
+        spare = [s for s in target if room[s] > 0 or turn % 2 == 0 or not any(room.values())]
+        movers = _movers(parts, target, [s for s in spare if s not in closed], turn, shards)
+        queued = stored(running_sums(movers, ["shard", "target"], ["g1", "g2"], F.col("n"), "ahead", n_parts), "movers")
+        found = queued.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
+        wanted = {(r["shard"], r["target"]): r["n"] for r in found}
+        admits = flows(wanted, room)
+        unmet = {move: n - admits.get(move, 0) for move, n in wanted.items() if n > admits.get(move, 0)}
+        swaps = None
+        if unmet:
+            waiting = _admitted(queued, admits).where("k = 0")
+            swaps = _makeway(parts, waiting, unmet, turn, n_parts)
+            for r in swaps.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect():
+                admits[r["target"], r["shard"]] = admits.get((r["target"], r["shard"]), 0) + r["n"]
+        # A shard that took in nobody is no target for the time being: its movers try the next largest part.
+        refused = {t for _, t in unmet} - {t for _, t in admits}
+        if refused:
+            closed |= refused
+        elif not admits:
+            closed, quiet = set(), quiet + 1
         if admits:
-            parts = _round(parts, movers, admits, n_parts)
+            quiet = 0
+            parts = _round(parts, queued, admits, swaps)
             held, n_parts = _held(parts, shards)
         turn += 1
 
