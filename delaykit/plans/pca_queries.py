@@ -34,10 +34,11 @@ def _(spark, path):
     with_views("cf", f"SELECT CAST(i AS INT) AS pc, 1.0E0 AS squared_length, 1.0E0 AS total_ratio FROM range(1, {len(NUMERIC) + 1}) r(i)"),
 )
 def _(spark, path):
-    lengths = loadings(spark, path).groupBy("pc").agg(
+    fitted = components(spark, path)
+    lengths = fitted.loadings.groupBy("pc").agg(
         F.sum(F.col("loading") * F.col("loading")).alias("squared_length")
     )
-    total = variance(spark, path).agg(F.sum("ratio")).scalar()
+    total = fitted.variance.agg(F.sum("ratio")).scalar()
     return lengths.withColumn("total_ratio", total)
 
 
@@ -50,7 +51,7 @@ def _(spark, path):
 @query("pca_scores")
 def _(spark, path):
     table = feature_table(spark, path).select("route", "OP_CARRIER", *NUMERIC)
-    scores = pca.pca_scores(table, components(spark, path))
+    scores = pca.pca_scores(table, pca.pca_fit(table.select(*NUMERIC), NUMERIC))
     return scores.select("route", "OP_CARRIER", *[f"PC{i}" for i in range(1, 6)])
 
 
@@ -107,7 +108,7 @@ def _(spark, path):
 @query("biplot_points")
 def _(spark, path):
     table = feature_table(spark, path).select(*NUMERIC)
-    return pca.biplot_points(pca.pca_scores(table, components(spark, path), 2))
+    return pca.biplot_points(pca.pca_scores(table, pca.pca_fit(table, NUMERIC), 2))
 
 
 @query("biplot_arrows")
@@ -139,10 +140,11 @@ def _(spark, path):
 
 @query("suggestion_report")
 def _(spark, path):
-    return suggestions.suggestion_report(loadings(spark, path), variance(spark, path))
+    fitted = components(spark, path)
+    return suggestions.suggestion_report(fitted.loadings, fitted.variance)
 
 
 @query("suggestion_counts")
 def _(spark, path):
-    report = suggestions.suggestion_report(loadings(spark, path), variance(spark, path))
-    return suggestions.suggestion_counts(report)
+    fitted = components(spark, path)
+    return suggestions.suggestion_counts(suggestions.suggestion_report(fitted.loadings, fitted.variance))
