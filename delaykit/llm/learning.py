@@ -9,17 +9,25 @@ from pyspark.sql import functions as F
 from delaykit.llm.shared import held_out
 
 
+def known_labels(labels: DataFrame, label_col: str, id_col: str = "doc_id") -> DataFrame:
+    """``_id`` and ``_label`` of the rows to learn from.
+
+    Held-out rows, null ids and null labels are left out; of an id with several labels the
+    largest counts.
+    """
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
+    return known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
+
+
 def labelled_sample(
     labels: DataFrame, label_col: str, max_rows: int, id_col: str = "doc_id"
 ) -> tuple[DataFrame, dict[int, int]]:
     """At most ``max_rows`` labelled ids of each class to learn from, and the class sizes.
 
-    Held-out rows, null ids and null labels are left out; of an id with several labels the
-    largest counts. The rows are those with the smallest hashes of their ids. Their number
-    is bounded whatever the size of ``labels``.
+    Of ``known_labels`` those with the smallest hashes of their ids. Their number is bounded
+    whatever the size of ``labels``.
     """
-    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
+    known = known_labels(labels, label_col, id_col)
     sizes = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = [
         known.where(F.col("_label") == c).orderBy(F.xxhash64("_id"), "_id").limit(max_rows) for c in (0, 1)
