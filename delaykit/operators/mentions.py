@@ -196,7 +196,8 @@ def flatten_itineraries(payloads: DataFrame, json: str = "payload") -> DataFrame
     A payload without itineraries gives a marker row; an itinerary without
     legs gives none.
     """
-    parsed = payloads.withColumn("_p", F.from_json(json, ITINERARY_SCHEMA))
+    # A list of one, unfolded: a plain column would be parsed again for the filter, several times a row.
+    parsed = payloads.select("*", F.explode(F.array(F.from_json(json, ITINERARY_SCHEMA))).alias("_p"))
     best, other = F.col("_p.best_flights"), F.col("_p.other_flights")
     options = F.when(F.coalesce(F.size(best), F.lit(0)) > 0, best).otherwise(other)
     none = F.coalesce(F.size(options), F.lit(0)) <= 0
