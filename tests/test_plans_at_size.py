@@ -2,7 +2,10 @@
 
 import re
 
-from delaykit.operators import mentions
+from pyspark.sql import functions as F
+
+from delaykit.functions import codes
+from delaykit.operators import cleaning, mentions
 from delaykit.sources import testdata as data
 
 PATH = "/root/testdata/sf0.001"
@@ -22,3 +25,19 @@ def test_flights_are_dealt_out_once_for_their_order(spark):
     joins = [line for line in flights.splitlines() if re.search(r"Join LeftOuter", line)]
     depth = {key: line.index("Join") for line in joins for key in ("o_custkey", "l_orderkey") if key in line}
     assert depth["o_custkey"] > depth["l_orderkey"]
+
+
+def test_codes_are_trimmed_without_patterns(spark):
+    odd = spark.createDataFrame([(" \t\n\x0b\f\ra b\r\f\x0b\n\t ",), ("\n",), ("",), (None,), ("x",)], "c string")
+    found = odd.select(codes.strip(F.col("c")).alias("c"), F.regexp_replace("c", r"^\s+|\s+$", "").alias("wanted"))
+    assert [r["c"] for r in found.collect()] == [r["wanted"] for r in found.collect()] == ["a b", "", "", None, "x"]
+    assert "regexp_replace" not in plan(cleaning.clean_flights(data.dirty_flights(spark, PATH)))
+
+
+def test_texts_are_parsed_once_and_numbers_are_filtered_below_the_joins(spark):
+    raw = plan(cleaning.filter_hub_routes(cleaning.clean_flights(data.dirty_flights(spark, PATH)), data.HUBS))
+    assert raw.count("RLIKE(DEP_DELAY") == 1 and not re.search(r"Filter .*RLIKE", raw)
+    lines = plan(cleaning.clean_flights(data.flights(spark, PATH))).splitlines()
+    assert lines.index(next(x for x in lines if "Filter" in x and "l_quantity" in x)) > max(
+        i for i, x in enumerate(lines) if "Join LeftOuter" in x and "l_orderkey" in x
+    )
