@@ -103,8 +103,9 @@ def sample_quota(sizes: DataFrame, stratum: str, size: int) -> DataFrame:
 
 def stratified_sample(df: DataFrame, size: int = 15_000, delay: str = "DEP_DELAY") -> DataFrame:
     """Sample with the share of every delay category kept."""
-    tagged = df.withColumn("delay_category", labels.delay_category(F.col(delay))).na.drop(
-        subset=["delay_category"]
+    # Read for the sizes, the counts and both sides of the cut.
+    tagged = settled(
+        df.withColumn("delay_category", labels.delay_category(F.col(delay))).na.drop(subset=["delay_category"])
     )
     quota = sample_quota(_stratum_sizes(tagged, "delay_category"), "delay_category", size)
     picked = take_exact(tagged, quota, ["delay_category"])

@@ -1,6 +1,7 @@
 """Exact selection and salted joins against plain ways of doing the same."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +85,19 @@ def test_join_that_cannot_broadcast(spark, how):
 def test_rank_limit_is_applied_before_the_shuffle(spark, capsys):
     selection.first_per_key(hot(spark), ["g"], ["v"]).explain()
     assert "WindowGroupLimit" in capsys.readouterr().out
+
+
+def test_rows_are_not_dealt_out_by_a_few_strata(spark):
+    rows = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    quota = rows.groupBy("k").agg((F.count(F.lit(1)) / 3).cast("bigint").alias("quota"))
+    # An estimate of the lookup from the rows it is counted from is far above the limit.
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        picked = selection.take_exact(rows, quota, ["k"])
+        plan = picked._jdf.queryExecution().sparkPlan().toString()
+        found = {r["k"]: r["n"] for r in picked.where("picked").groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert found == {0: 333, 1: 333, 2: 333}
+    assert not re.search(r"SortMergeJoin \[k#\w+\],", plan)
