@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from delaykit.functions import codes
 from delaykit.operators import cleaning, mentions
+from delaykit.plans import CATALOG
 from delaykit.sources import testdata as data
 
 PATH = "/root/testdata/sf0.001"
@@ -41,3 +42,9 @@ def test_texts_are_parsed_once_and_numbers_are_filtered_below_the_joins(spark):
     assert lines.index(next(x for x in lines if "Filter" in x and "l_quantity" in x)) > max(
         i for i, x in enumerate(lines) if "Join LeftOuter" in x and "l_orderkey" in x
     )
+
+
+def test_one_hot_encoding_joins_the_flights_once(spark):
+    # The rows are written before their labels are numbered, so the result reads no line items.
+    hot = CATALOG["one_hot_encode"].plain(spark, PATH)
+    assert "l_orderkey" not in plan(hot)
