@@ -1,19 +1,21 @@
 """Principal components and what they say about the features.
 
 The pass over the data sums up moments and products of the columns, or for the wide
-encoded matrix a few products with a thin matrix. Everything
+encoded matrix those products that are not zero. Everything
 after it works on loadings, one row per feature and component: their number
 depends on the columns of the table, never on its rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ TOP_COMPONENTS = 5
 LEVELS = (90, 95, 99)
 # Entries multiplied at a time, and the widest space searched, in blocks of directions.
 BLOCK_ENTRIES, WIDEST = 1 << 18, 6
+# Rows of up to so many entries have these paired; sums of products that a task keeps.
+PAIRED_ENTRIES, HELD_PRODUCTS = 512, 1 << 20
 # Groups that the tasks' moments are merged in before they reach the driver.
 MERGED = 64
 # Below this a row of loadings is rounding noise, not a direction.
@@ -199,36 +203,35 @@ def _summed(entries: DataFrame, width: int, columns: int, add) -> np.ndarray:
         used = np.flatnonzero(out.any(axis=1))
         yield pd.DataFrame(out[used], columns=names).assign(place=used)
 
-    schema = ", ".join([*[f"{n} double" for n in names], "place long"])
-    parts = entries.mapInPandas(partial, schema)
+    return _added_up(entries.mapInPandas(partial, _place_schema(names)), names, width)
+
+
+def _place_schema(names: list[str]) -> str:
+    return ", ".join([*[f"{n} double" for n in names], "place long"])
+
+
+def _added_up(parts: DataFrame, names: list[str], width: int) -> np.ndarray:
     sums = parts.groupBy("place").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    out = np.zeros((width, columns))
+    out = np.zeros((width, len(names)))
     out[sums["place"].to_numpy(dtype=np.int64)] = sums[names].to_numpy(dtype=np.float64)
     return out
 
 
-def leading_variances(
-    encoded: DataFrame, k: int = 10, features: str = "features", tolerance: float = 1e-7, passes: int = 100
-) -> tuple[np.ndarray, float]:
-    """The ``k`` largest variances of the principal components, and the sum of all.
+class _Square(NamedTuple):
+    """The centred rows' square matrix, known by its products with thin matrices."""
 
-    Block iteration from a random start: a pass multiplies the centred rows by a thin
-    matrix, and the next block is what the best directions so far leave over. Nothing of the
-    size of a covariance matrix is made, so the number of columns may be large; a thin
-    matrix is broadcast in each pass, ``columns * (k + 8)`` numbers. Rows without a vector are
-    left out; fewer columns than ``k`` give as many variances; no rows give none.
-    """
-    vector = F.unwrap_udt(features)
-    entries = settled(
-        encoded.where(F.col(features).isNotNull()).select(
-            F.coalesce(vector["size"], F.size(vector["values"])).alias("width"), vector["indices"].alias("indices"),
-            vector["values"].alias("values"),
-        )
-    )
+    width: int
+    total: float  # of all variances, times the rows
+    image: Callable[[np.ndarray], np.ndarray]
+
+
+def _square_of_rows(entries: DataFrame) -> _Square | None:
+    """Each product reads all rows; for rows with too many entries to pair."""
+    entries = settled(entries)
     n, width = entries.agg(F.count(F.lit(1)), F.max("width")).first()
     entries = entries.drop("width")
     if not n:
-        return np.zeros(0), 0.0
+        return None
 
     def powers(out, rows, row, at, value):
         out[:, 0] += np.bincount(at, value, minlength=width)
@@ -237,11 +240,8 @@ def leading_variances(
     sums = _summed(entries, width, 2, powers)
     mean = sums[:, 0] / n
     total = float((sums[:, 1] - n * mean * mean).sum())
-    k = min(k, width)
-    block_width = min(k + 8, width)
 
     def image(block: np.ndarray) -> np.ndarray:
-        """The centred rows' square matrix times ``block``."""
         sent = entries.sparkSession.sparkContext.broadcast((block, mean @ block))
 
         def multiply(out, rows, row, at, value):
@@ -254,6 +254,160 @@ def leading_variances(
         sent.destroy()
         return found
 
+    return _Square(width, total, image)
+
+
+def _added(keys: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    every, places = np.unique(np.concatenate(keys), return_inverse=True)
+    return every, np.bincount(places, np.concatenate(sums), minlength=len(every))
+
+
+def _paired(rows: int, row: np.ndarray, at: np.ndarray, value: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sums over the rows of the products of two entries, by ``first << 32 | second``, first <= second.
+
+    A column of ones stands before the others, as number 0. Columns that a quarter of the rows
+    have are multiplied as a matrix, the others entry by entry.
+    """
+    counts = np.bincount(at)
+    used = np.flatnonzero(counts)
+    number = np.zeros(len(counts), dtype=np.int64)
+    number[used] = np.arange(len(used))
+    at = number[at]
+    often = counts[used] * 4 >= rows
+    slot = np.cumsum(often)
+    dense = np.zeros((rows, 1 + int(often.sum())))
+    dense[:, 0] = 1.0
+    here = often[at]
+    dense[row[here], slot[at[here]]] = value[here]
+    names = np.concatenate([[0], used[often] + 1])
+    i, j = np.triu_indices(len(names))
+    keys, sums = [names[i] << 32 | names[j]], [(dense.T @ dense)[i, j]]
+    seldom = used[~often] + 1
+    if len(seldom):
+        row, value = row[~here], value[~here]
+        at = (np.cumsum(~often) - 1)[at[~here]]
+        for name, column in zip(names, dense.T):
+            keys.append(np.minimum(name, seldom) << 32 | np.maximum(name, seldom))
+            sums.append(np.bincount(at, value * column[row], minlength=len(seldom)))
+        size = len(seldom)
+        codes, products = [at * size + at], [value * value]
+        for step in range(1, int(np.bincount(row).max())):
+            near = np.flatnonzero(row[:-step] == row[step:])
+            codes.append(at[near] * size + at[near + step])
+            products.append(value[near] * value[near + step])
+        if size * size <= BLOCK_ENTRIES * 4:
+            code, product = np.concatenate(codes), np.concatenate(products)
+            codes = np.flatnonzero(np.bincount(code, minlength=size * size))
+            products = np.bincount(code, product, minlength=size * size)[codes]
+        else:
+            codes, products = _added(codes, products)
+        keys.append(seldom[codes // size] << 32 | seldom[codes % size])
+        sums.append(products)
+    return keys, sums
+
+
+def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a task, handed on when there are ``HELD_PRODUCTS`` of them."""
+    keys, sums, held, width = [], [], 0, 0
+
+    def handed() -> pa.RecordBatch:
+        columns = [keys[0] >> 32, keys[0] & 0xFFFFFFFF, sums[0], np.full(len(keys[0]), width)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["i", "j", "v", "width"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        width = max(width, pc.max(batch.column("width")).as_py())
+        values, indices = batch.column("values"), batch.column("indices")
+        lengths = pc.list_value_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        value = values.flatten().to_numpy(zero_copy_only=False)
+        # A dense vector has no indices.
+        at = np.arange(len(value)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at[indices.is_valid().to_numpy(zero_copy_only=False)[row]] = indices.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths)
+        block = ends // BLOCK_ENTRIES
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(lengths)]
+        for start, end in pairwise(cuts):
+            own = slice(int(ends[start - 1]) if start else 0, int(ends[end - 1]))
+            more_keys, more_sums = _paired(end - start, row[own] - start, at[own], value[own])
+            keys, sums, held = keys + more_keys, sums + more_sums, held + sum(map(len, more_keys))
+            if held > HELD_PRODUCTS:
+                keys, sums = ([x] for x in _added(keys, sums))
+                held = len(keys[0])
+                if held > HELD_PRODUCTS // 2:
+                    yield handed()
+                    keys, sums, held = [], [], 0
+    if keys:
+        keys, sums = ([x] for x in _added(keys, sums))
+        yield handed()
+
+
+def _square_of_products(entries: DataFrame) -> _Square | None:
+    """The rows are read once; what is kept has a row for each two columns that a row has both of."""
+    parts = entries.mapInArrow(_products, "i long, j long, v double, width long")
+    pairs = settled(parts.groupBy("i", "j").agg(F.sum("v").alias("v"), F.max("width").alias("width")))
+    ones = pairs.where("i = 0").toPandas()
+    if not len(ones):
+        return None
+    width = int(ones["width"].max())
+    sums = np.zeros(width + 1)
+    sums[ones["j"].to_numpy()] = ones["v"].to_numpy()
+    n, mean = sums[0], sums[1:] / sums[0]
+    pairs = pairs.where("i > 0").select((F.col("i") - 1).alias("i"), (F.col("j") - 1).alias("j"), "v")
+    squares = pairs.where("i = j").agg(F.sum("v")).first()[0] or 0.0
+
+    def image(block: np.ndarray) -> np.ndarray:
+        columns = block.shape[1]
+        names = [f"c{i}" for i in range(columns)]
+        sent = entries.sparkSession.sparkContext.broadcast(block)
+
+        def multiply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            out = np.zeros((width, columns))
+            for frame in frames:
+                i, j, v = (frame[c].to_numpy() for c in "ijv")
+                twice = i != j
+                into, other, times = np.concatenate([i, j[twice]]), np.concatenate([j, i[twice]]), np.concatenate([v, v[twice]])
+                for c in range(columns):
+                    out[:, c] += np.bincount(into, times * sent.value[other, c], minlength=width)
+            used = np.flatnonzero(out.any(axis=1))
+            yield pd.DataFrame(out[used], columns=names).assign(place=used)
+
+        found = _added_up(pairs.mapInPandas(multiply, _place_schema(names)), names, width)
+        sent.destroy()
+        return found - n * np.outer(mean, mean @ block)
+
+    return _Square(width, float(squares - n * (mean * mean).sum()), image)
+
+
+def leading_variances(
+    encoded: DataFrame, k: int = 10, features: str = "features", tolerance: float = 1e-7, passes: int = 100
+) -> tuple[np.ndarray, float]:
+    """The ``k`` largest variances of the principal components, and the sum of all.
+
+    Block iteration from a random start: a pass multiplies the centred rows' square matrix by a thin
+    matrix, and the next block is what the best directions so far leave over. Of the square
+    matrix only what is not zero before centring is made, by one pass over the rows, and it stays
+    with the tasks; where the first row has more than ``PAIRED_ENTRIES`` entries, nothing of it is made and
+    each pass reads the rows. The number of columns may be large; a thin
+    matrix is broadcast in each pass, ``columns * (k + 8)`` numbers. Rows without a vector are
+    left out; fewer columns than ``k`` give as many variances; no rows give none.
+    """
+    vector = F.unwrap_udt(features)
+    entries = encoded.where(F.col(features).isNotNull()).select(
+        F.coalesce(vector["size"], F.size(vector["values"])).alias("width"), vector["indices"].alias("indices"),
+        vector["values"].alias("values"),
+    )
+    first = entries.select(F.size("values")).first()
+    if first is None:
+        return np.zeros(0), 0.0
+    square = (_square_of_products if first[0] <= PAIRED_ENTRIES else _square_of_rows)(entries)
+    if square is None:
+        return np.zeros(0), 0.0
+    width, total, image = square
+    k = min(k, width)
+    block_width = min(k + 8, width)
+
     block = np.linalg.qr(np.random.default_rng(0).normal(size=(width, block_width)))[0]
     basis = images = np.zeros((width, 0))
     for _ in range(passes):

@@ -1,6 +1,7 @@
 """Components and suggestions against published values."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import DenseVector, Vectors, VectorUDT
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from delaykit.operators import pca, suggestions
 from delaykit.operators.engineered import engineer_all, suggestions_by_type
+from delaykit.operators.lookups import settled
 
 # A published sample of 53 requests (hour, weekday, airport,
 # carrier), the mean delays it uses, and the results for it.
@@ -171,3 +173,40 @@ def test_report_of_little(spark):
     assert pca.pca_report(few.limit(0)).collect() == []
     same = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 3, schema)
     assert [r["ratio"] for r in pca.pca_report(same).collect()] == [None, None]
+
+
+def test_the_report_keeps_pairs_of_columns_and_not_rows(spark, monkeypatch):
+    written = []
+
+    def counted(df):
+        out = settled(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(pca, "settled", counted)
+    rows = sparse_rows(600, 12, 7)
+    df = spark.createDataFrame([(r,) for r in rows], StructType().add("features", VectorUDT()))
+    paired = [r["ratio"] for r in pca.pca_report(df.repartition(3)).orderBy("pc").collect()]
+    assert paired == pytest.approx(exact_ratios(dense(rows, 12), 10), abs=1e-6)
+    # The twelve columns and one of ones make 91 pairs.
+    assert written and max(written) <= 91
+    # Rows with more entries than are paired are read in each pass, with the same result.
+    monkeypatch.setattr(pca, "PAIRED_ENTRIES", 0)
+    assert [r["ratio"] for r in pca.pca_report(df).orderBy("pc").collect()] == pytest.approx(paired, abs=1e-6)
+
+
+def test_sums_of_products_are_handed_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(pca, "HELD_PRODUCTS", 50)
+    monkeypatch.setattr(pca, "BLOCK_ENTRIES", 64)
+    rows = sparse_rows(200, 40, 9)
+    indices, values = [r.indices.tolist() for r in rows], [r.values.tolist() for r in rows]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([40] * 200), pa.array(indices, pa.list_(pa.int32())), pa.array(values)], ["width", "indices", "values"]
+    )
+    parts = list(pca._products(iter([batch.slice(0, 90), batch.slice(90)])))
+    assert len(parts) > 2
+    found = np.zeros((41, 41))
+    for part in parts:
+        np.add.at(found, (part["i"].to_numpy(), part["j"].to_numpy()), part["v"].to_numpy())
+    ones = np.hstack([np.ones((200, 1)), dense(rows, 40)])
+    assert found == pytest.approx(np.triu(ones.T @ ones))
