@@ -1,12 +1,16 @@
 """Work that must be done once a row, and joins that must read few columns, by the plans."""
 
+import math
+import random
 import re
+import struct
 
 from pyspark.sql import functions as F
 
 from delaykit.functions import codes
 from delaykit.operators import cleaning, mentions
 from delaykit.plans import CATALOG
+from delaykit.plans.catalog import rounded
 from delaykit.sources import testdata as data
 
 PATH = "/root/testdata/sf0.001"
@@ -48,3 +52,19 @@ def test_one_hot_encoding_joins_the_flights_once(spark):
     # The rows are written before their labels are numbered, so the result reads no line items.
     hot = CATALOG["one_hot_encode"].plain(spark, PATH)
     assert "l_orderkey" not in plan(hot)
+
+
+def test_doubles_are_rounded_as_before_and_as_one_list(spark):
+    draw = random.Random(3)
+    odd = [None, 0.0, -0.0, 1e-9, -1e-9, 0.0078125, -0.0078125, 2.5e-6, 0.1234565, 1.0000005, -3.4999995, 999999.9999995,
+           1e6, 1e12 + 0.1, 123456789.1234565, 1e17, -1e300, math.inf, -math.inf, math.nan, 5e-324]
+    odd += [draw.uniform(-1, 1) * 10 ** draw.randint(-8, 9) for _ in range(2000)]
+    odd += [round(draw.uniform(-1e5, 1e5), 6) + 5e-7 for _ in range(2000)] + [draw.randint(-(10**9), 10**9) / 128 for _ in range(2000)]
+    df = spark.createDataFrame([(x, i, x) for i, x in enumerate(odd)], "`a.b` double, i long, c double")
+    bits = lambda x: None if x is None else "nan" if math.isnan(x) else struct.pack("d", x)
+    for digits in (4, 6):
+        wanted = df.select(F.round("`a.b`", digits), "i", F.round("c", digits)).collect()
+        assert rounded(df, digits).columns == df.columns
+        assert [[bits(r[0]), r[1], bits(r[2])] for r in rounded(df, digits).collect()] == [[bits(r[0]), r[1], bits(r[2])] for r in wanted]
+    # One rounding for all of the columns.
+    assert len(re.findall(r"\bround\(", plan(rounded(df)))) == 1
