@@ -30,7 +30,7 @@ NEVER = float("-inf")
 # Parts of up to so many bytes are stepped through together, and how many at once.
 WIDTHS, TOGETHER = (8, 16, 48), 1 << 14
 # Characters of the texts encoded together, and parts remembered in a generation.
-BATCH_CHARACTERS, REMEMBERED = 1 << 19, 250_000
+BATCH_CHARACTERS, REMEMBERED = 1 << 21, 250_000
 
 
 class Vocabulary(NamedTuple):
@@ -243,9 +243,10 @@ class PieceCoder:
         """``part`` of each: short ones together, the others one by one."""
         data = [p.encode() for p in parts]
         found: list[bytes | None] = [None] * len(parts)
+        sizes = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
         low = 0
         for width in WIDTHS:
-            own = [i for i, d in enumerate(data) if low < len(d) <= width]
+            own = np.flatnonzero((sizes > low) & (sizes <= width)).tolist()
             for start in range(0, len(own), TOGETHER):
                 group = own[start : start + TOGETHER]
                 for i, ids in zip(group, self.covers([data[i] for i in group], width)):

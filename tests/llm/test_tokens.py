@@ -144,3 +144,22 @@ def test_pieces_rows(spark):
     assert pieces.round_trip(documents(spark, AWKWARD).limit(0), PIECES).collect() == []
     text = spark.read.parquet(f"{SF}/documents.parquet")
     assert pieces.round_trip(text, PIECES).where("NOT same").count() == 0
+
+
+def test_parts_are_dealt_to_widths_by_lengths_taken_once():
+    coder, taken = pieces.PieceCoder(pieces.read_vocabulary(PIECES)), []
+
+    class Bytes(bytes):
+        def __len__(self):
+            taken.append(1)
+            return super().__len__()
+
+    class Part(str):
+        def encode(self):
+            return Bytes(super().encode())
+
+    words = [" a", " several", " considerably", " incomprehensibilities", " ünïcödé"]
+    found = coder.encode_parts([Part(w) for w in words])
+    assert found == [coder.part(w) for w in words]
+    # Once to deal them out and once where they are stepped through.
+    assert len(taken) <= 2 * len(words)
