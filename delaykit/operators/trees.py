@@ -15,7 +15,7 @@ number goes with the smallest, a label that was never seen with the others.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -710,9 +710,10 @@ class TreeModel:
         count = len(self.categorical)
 
         @F.pandas_udf("double")
-        def predict(rows: pd.DataFrame) -> pd.Series:
-            model = sent.value
-            return pd.Series(model.margin(_binned(rows, model.edges), _labels(rows, count)))
+        def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            answers = Answers(sent.value)
+            for rows in batches:
+                yield pd.Series(answers.margin(_binned(rows, sent.value.edges), _labels(rows, count)))
 
         columns = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(self.numeric)] + _hashed(self.categorical)
         return df.withColumn("prediction", predict(F.struct(*columns)))
@@ -730,6 +731,42 @@ class TreeModel:
         return {k: v / total for k, v in gains.items()}
 
 
+class Answers:
+    """The margins of a model, found once for rows of the same bins and labels.
+
+    Inputs that come from lookups take few values together, and a row's way through all trees costs
+    far more than looking up its codes. Two generations of answers bound the memory.
+    """
+
+    def __init__(self, model: TreeModel, size: int = 100_000):
+        # Lists would be made arrays again for each batch.
+        parts = [(t.feature, t.key, t.left, t.value, t.gain) for t in model.trees]
+        self.model, self.size = replace(model, trees=tuple(Tree(*map(np.array, p)) for p in parts)), size
+        self.young: dict[bytes, float] = {}
+        self.old: dict[bytes, float] = {}
+
+    def margin(self, bins: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        codes = np.hstack([bins.T, np.ascontiguousarray(labels.T).view(np.uint8)])
+        width = codes.shape[1]
+        if not width:
+            return self.model.margin(bins, labels)
+        whole = np.ascontiguousarray(codes).tobytes()
+        keys = [whole[at : at + width] for at in range(0, len(whole), width)]
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+        fresh: dict[bytes, int] = {}
+        for i, key in enumerate(keys):
+            if key not in self.young:
+                if key in self.old:
+                    self.young[key] = self.old[key]
+                else:
+                    fresh.setdefault(key, i)
+        if fresh:
+            at = list(fresh.values())
+            self.young.update(zip(fresh, self.model.margin(bins[:, at], labels[:, at]).tolist(), strict=True))
+        return np.fromiter(map(self.young.__getitem__, keys), dtype=np.float64, count=len(keys))
+
+
 def _model(source: Blocks, trees: Sequence[Tree], start: float, mean: bool) -> TreeModel:
     return TreeModel(tuple(trees), start, mean, source.edges, source.numeric, source.categorical)
 

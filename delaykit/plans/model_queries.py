@@ -330,9 +330,9 @@ AIRPORT = {
 }
 
 
-def airport_model(spark, path):
+def airport_model(spark, path, causes=None):
     """Forest over carrier, airport and month, split within each airport."""
-    table = report(spark, path).select(*AIRPORT["numeric"], *AIRPORT["categorical"], AIRPORT["target"])
+    table = report(spark, path, causes).select(*AIRPORT["numeric"], *AIRPORT["categorical"], AIRPORT["target"])
     parts = settled(splitting.stratified_split(settled(table), "airport"))
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     return models.forest("airport_month", **AIRPORT).fit(train), train, test
@@ -352,9 +352,11 @@ def _(spark, path):
 
 @query("score_gated_model")
 def _(spark, path):
-    model, _, test = airport_model(spark, path)
+    # The report is summed up from the facts once, for the model and the lookups.
+    causes = settled(data.delay_cause(spark, path))
+    model, _, test = airport_model(spark, path, causes)
     mae = models.regression_metrics(models.scored(model, test), "avg_delay_minutes").first()["mae"]
-    out = scoring.score_gated(data.requests(spark, path), *lookups(spark, path), scorer=model, mae=mae)
+    out = scoring.score_gated(data.requests(spark, path), *lookups(spark, path, causes), scorer=model, mae=mae)
     return out.drop("data_availability")
 
 

@@ -8,7 +8,7 @@ import struct
 from pyspark.sql import functions as F
 
 from delaykit.functions import codes
-from delaykit.operators import cleaning, mentions
+from delaykit.operators import cleaning, mentions, models, trees
 from delaykit.plans import CATALOG
 from delaykit.plans.catalog import rounded
 from delaykit.sources import testdata as data
@@ -54,6 +54,14 @@ def test_one_hot_encoding_joins_the_flights_once(spark):
     assert "l_orderkey" not in plan(hot)
 
 
+def test_the_gated_model_and_its_lookups_share_the_report(spark, monkeypatch):
+    made, delay_cause = [], data.delay_cause
+    monkeypatch.setattr(data, "delay_cause", lambda *args: made.append(1) or delay_cause(*args))
+    monkeypatch.setitem(models.FORESTS, "airport_month", trees.Rules(trees=2, depth=2))
+    assert CATALOG["score_gated_model"].plain(spark, PATH).count() == data.requests(spark, PATH).count()
+    assert len(made) == 1
+
+
 def test_doubles_are_rounded_as_before_and_as_one_list(spark):
     draw = random.Random(3)
     odd = [None, 0.0, -0.0, 1e-9, -1e-9, 0.0078125, -0.0078125, 2.5e-6, 0.1234565, 1.0000005, -3.4999995, 999999.9999995,

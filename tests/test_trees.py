@@ -127,6 +127,20 @@ def test_missing_and_unknown_values_are_predicted(spark, table):
     assert empty.rows == 0 and trees.boosted(empty, Rules(trees=1, depth=2))[0].transform(odd.select("a", "c")).count() == 2
 
 
+@pytest.mark.parametrize("size", [3, 100_000])
+def test_rows_of_equal_codes_go_through_the_trees_once(spark, table, size, monkeypatch):
+    model = trees.boosted(trees.blocks(table, ["a", "b"], ["c"], "y"), Rules(trees=3, depth=4, rate=0.5))[0]
+    draw = np.random.default_rng(5)
+    bins, labels = draw.integers(0, 4, (2, 5000)).astype(np.uint8), draw.integers(0, 3, (1, 5000)) * (1 << 60)
+    wanted, asked, margin = model.margin(bins, labels), [], trees.TreeModel.margin
+    monkeypatch.setattr(trees.TreeModel, "margin", lambda self, b, c: asked.append(b.shape[1]) or margin(self, b, c))
+    answers = trees.Answers(model, size)
+    found = [answers.margin(bins[:, at : at + 1000], labels[:, at : at + 1000]) for at in range(0, 5000, 1000)]
+    assert np.concatenate(found).tolist() == wanted.tolist()
+    assert sum(asked) == len(np.unique(np.vstack([bins, labels]), axis=1).T) < 50
+    assert len(answers.margin(bins[:, :0], labels[:, :0])) == 0
+
+
 def test_a_saved_model_predicts_the_same(spark, table, tmp_path):
     model = trees.boosted(trees.blocks(table, ["a", "b"], ["c"], "y"), Rules(trees=2, depth=2))[0]
     again = trees.load(spark, trees.save(spark, model, str(tmp_path / "model")))
