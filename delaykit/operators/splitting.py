@@ -21,13 +21,17 @@ def _named(df: DataFrame, flag: str = "picked") -> DataFrame:
     return df.withColumn("split", F.when(F.col(flag), "train").otherwise("test")).drop(flag)
 
 
-def temporal_split(df: DataFrame, date: str = "FL_DATE", test_size: float = 0.2) -> DataFrame:
+def temporal_split(
+    df: DataFrame, date: str = "FL_DATE", test_size: float = 0.2, base: DataFrame | None = None
+) -> DataFrame:
     """Earliest rows train, the rest test; ``split`` says which.
 
     Rows per date place the cut on one date. Only that date is divided, by
-    digest, so no date has to fit a task.
+    digest, so no date has to fit a task. ``base`` may give the same rows before
+    other joins: its columns come out, and only the date that is divided is read
+    from ``df``, for the digest.
     """
-    dated = df.na.drop(subset=[date])
+    dated = (df if base is None else base).na.drop(subset=[date])
     # One row per calendar day.
     per_date = settled(dated.groupBy(date).agg(F.count(F.lit(1)).alias("n")))
     running = per_date.withColumn("upto", F.sum("n").over(W.orderBy(date)))
@@ -44,9 +48,9 @@ def temporal_split(df: DataFrame, date: str = "FL_DATE", test_size: float = 0.2)
         "picked", F.coalesce(F.col(date) < on_edge, F.lit(False))
     )
     inside = take_exact_overall(
-        dated.filter(F.col(date) == on_edge), edge.select("need").scalar()
+        df.filter(F.col(date) == on_edge), edge.select("need").scalar()
     )
-    return _named(outside.unionByName(inside))
+    return _named(outside.unionByName(inside.select(*outside.columns)))
 
 
 def split_size(n: Column, test_size: float) -> Column:

@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from delaykit import constants as K
-from delaykit.operators import engineered, features, models, scoring, splitting
+from delaykit.operators import engineered, models, scoring, splitting
 from delaykit.operators.lookups import settled
 from delaykit.plans.catalog import ROW_DIGITS, query
 from delaykit.plans.feature_queries import engineered_table, feature_table
-from delaykit.plans.flight_queries import FLIGHT, clean, enriched, lookups, route_table
-from delaykit.plans.report_queries import report
+from delaykit.plans.flight_queries import FLIGHT, clean, lookups, route_table
+from delaykit.plans.report_queries import history_report, report
+from delaykit.plans.training import feature_parts
 from delaykit.plans.views import digest_sql, scenario, with_views
 from delaykit.sources import testdata as data
 
@@ -287,13 +288,7 @@ def _(spark, path):
 
 def _training_parts(spark, path):
     """Features split by date; encodings fitted on the training part only."""
-    both = settled(splitting.temporal_split(settled(enriched(spark, path))))
-    train = both.filter("split = 'train'")
-    table = features.training_features(both, fit_on=train, keep=["split"])
-    # A key the training part never had gets its overall mean delay.
-    overall = train.agg(F.avg("DEP_DELAY")).scalar()
-    table = settled(table.withColumns({c: F.coalesce(F.col(c), overall) for c in K.ENCODINGS}))
-    return table.filter("split = 'train'").drop("split"), table.filter("split = 'test'").drop("split")
+    return feature_parts(clean(spark, path), history_report(spark, path))
 
 
 def _measured(name, learner, spark, path, weight=False):

@@ -32,18 +32,27 @@ def candidates() -> dict[str, Pipeline | models.TreeLearner]:
     }
 
 
-def training_parts(flights: DataFrame, causes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Features of the early and of the late flights; encodings know the early ones only."""
-    dated = cleaning.parse_flight_date(flights)
-    joined = settled(enrichment.enrich_origin_dest(dated, metrics.delay_history(causes)))
-    both = settled(splitting.temporal_split(joined))
+def feature_parts(flights: DataFrame, history: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features of the early and of the late flights; encodings know the early ones only.
+
+    The flights are written as they come, then with their part; only the features are written wide.
+    """
+    flights, history = settled(flights), settled(history)
+    both = settled(splitting.temporal_split(enrichment.enrich_origin_dest(flights, history), base=flights))
     train = both.filter("split = 'train'")
-    table = features.training_features(both, fit_on=train, keep=["split"])
+    wide = enrichment.enrich_origin_dest(both, history)
+    table = features.training_features(wide, fit_on=train, keep=["split"], base=both)
+    # A key the training part never had gets its overall mean delay.
     overall = train.agg(F.avg(models.TARGET)).scalar()
     table = settled(table.withColumns({c: F.coalesce(F.col(c), overall) for c in K.ENCODINGS}))
     return table.filter("split = 'train'").drop("split"), table.filter("split = 'test'").drop("split")
 
 
+def training_parts(flights: DataFrame, causes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``feature_parts`` of cleaned flights and a cleaned report."""
+    return feature_parts(cleaning.parse_flight_date(flights), metrics.delay_history(causes))
+
+
 def train_from_csv(
     spark: SparkSession, flights_dir: str, causes_dir: str, out: str,
     pipelines: Mapping[str, Pipeline | models.TreeLearner] | None = None,

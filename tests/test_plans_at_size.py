@@ -4,13 +4,18 @@ import math
 import random
 import re
 import struct
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from delaykit import constants as K
 from delaykit.functions import codes
-from delaykit.operators import cleaning, mentions, models, trees
+from delaykit.operators import cleaning, enrichment, mentions, models, splitting, trees
 from delaykit.plans import CATALOG
 from delaykit.plans.catalog import rounded
+from delaykit.plans.flight_queries import enriched
+from delaykit.plans.model_queries import _training_parts
+from delaykit.session import shared_root
 from delaykit.sources import testdata as data
 
 PATH = "/root/testdata/sf0.001"
@@ -62,6 +67,22 @@ def test_the_gated_model_and_its_lookups_share_the_report(spark, monkeypatch):
     assert len(made) == 1
 
 
+def test_flights_to_learn_from_are_written_wide_once(spark):
+    folder = Path(shared_root(spark)) / "settled"
+    known = set(folder.glob("*"))
+    train, test = _training_parts(spark, PATH)
+    written = [spark.read.parquet(str(p)).columns for p in set(folder.glob("*")) - known]
+    assert len([c for c in written if K.HISTORY_DEST[0] in c]) == 1
+    # The same parts as from flights that were enriched before they were split.
+    parts = splitting.temporal_split(enriched(spark, PATH))
+    for name, part in (("train", train), ("test", test)):
+        wanted = parts.where(F.col("split") == name).groupBy("ORIGIN", "DEST", "OP_CARRIER", "DISTANCE", "DEP_DELAY", *K.HISTORY_DEST[:1])
+        found = part.groupBy("ORIGIN", "DEST", "OP_CARRIER", "DISTANCE", "DEP_DELAY", *K.HISTORY_DEST[:1])
+        assert sorted(map(repr, found.count().collect())) == sorted(map(repr, wanted.count().collect()))
+    # The means by key are written, so that their size is known before the flights are dealt out.
+    assert "Aggregate" not in plan(enrichment.target_encode_join(train))
+
+
 def test_doubles_are_rounded_as_before_and_as_one_list(spark):
     draw = random.Random(3)
     odd = [None, 0.0, -0.0, 1e-9, -1e-9, 0.0078125, -0.0078125, 2.5e-6, 0.1234565, 1.0000005, -3.4999995, 999999.9999995,
