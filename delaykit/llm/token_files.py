@@ -18,6 +18,7 @@ import os
 import struct
 import uuid
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -36,6 +37,7 @@ SLOT = np.dtype([("print", "<u4"), ("start", "<u8"), ("length", "<u8")])
 KEY = np.dtype([("doc_id", "<i8"), ("repeat", "<u4"), ("null", "u1")])
 PER_BUCKET = 4
 SEEDS = 64
+JOINED = 32
 MANIFEST = "part int, file int, path string, first_id long, last_id long, n_docs long, n_ids long"
 
 
@@ -183,8 +185,8 @@ class ChunkIds:
     """Ids of texts, put together from those of their chunks between spaces and line feeds.
 
     Right for tokenizers that drop white space, so that no token and no normalisation
-    reaches over it. Each distinct chunk is encoded by the tokenizer once; two generations
-    of chunks bound the memory.
+    reaches over it. Each distinct chunk is encoded by the tokenizer once, with others in
+    one text; two generations of chunks bound the memory.
     """
 
     def __init__(self, tokenizer, size: int = 500_000, longest: int = 64):
@@ -198,23 +200,46 @@ class ChunkIds:
         rows = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
-        young, old, fresh = self.young, self.old, []
-        for chunk in set().union(*rows).difference(young):
+        young, old = self.young, self.old
+        found = [list(map(young.get, row)) for row in rows]
+        gaps = [[i for i, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
+        fresh = []
+        for chunk in {row[i] for row, at in zip(rows, gaps, strict=True) for i in at}:
             ids = old.get(chunk)
             if ids is None:
                 fresh.append(chunk)
             else:
                 young[chunk] = ids
-        form = f"<u{self.width}"
-        # One by one a call costs more than the chunk; in a batch it does not.
-        encodings = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        for chunk, e in zip(fresh, encodings, strict=True):
-            young[chunk] = np.array(e.ids, dtype=form).tobytes()
-        out = [b"".join(map(young.__getitem__, row)) for row in rows]
+        young.update(zip(fresh, self._fresh(fresh), strict=True))
+        for row, own, at in zip(rows, found, gaps, strict=True):
+            for i in at:
+                own[i] = young[row[i]]
         for chunk in fresh:
             if len(chunk) > self.longest:
                 del young[chunk]
-        return out
+        return list(map(b"".join, found))
+
+    def _fresh(self, chunks: list[str]) -> Iterator[bytes]:
+        """The ids of each chunk: a call or a text for each would cost more than the chunk.
+
+        In a text of many, a token belongs to the chunk that it begins in.
+        """
+        form, width = f"<u{self.width}", self.width
+        groups = [chunks[at : at + JOINED] for at in range(0, len(chunks), JOINED)]
+        encodings = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, encodings, strict=True):
+            begins = [begin for begin, _ in e.offsets]
+            if begins != sorted(begins):
+                # Tokens that do not follow the text cannot be dealt to its chunks.
+                for one in self.tokenizer.encode_batch_fast(group, add_special_tokens=False):
+                    yield np.array(one.ids, dtype=form).tobytes()
+                continue
+            ids, first, end = np.array(e.ids, dtype=form).tobytes(), 0, 0
+            for chunk in group:
+                end += len(chunk) + 1
+                last = bisect_left(begins, end, first)
+                yield ids[first * width : last * width]
+                first = last
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:

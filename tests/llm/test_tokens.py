@@ -54,6 +54,32 @@ def test_chunks_give_the_ids_of_the_whole_text():
         assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_new_chunks_share_a_text_and_keep_their_ids():
+    tokenizer = tokenizers.Tokenizer.from_file(WORDS)
+    draw, asked = random.Random(4), []
+    signs = list("abcÀéßİΣσς\u0327\u0301ﬁ½²Ⅷ漢字\u0915\u094d👍🏽\u200d \t\r\x0b\u0085\u00a0\u3000.,;:!?'<|>$*_-09AB\u1100\u1161")
+    signs += ["<|endoftext|>", "<|startoftext|>", "'s", "'LL", "  ", "\n", "x" * 70]
+    texts = ["".join(draw.choices(signs, k=draw.randrange(0, 60))) for _ in range(2000)] + ["", " ", "\n"]
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch(self, batch, **kinds):
+            asked.extend(batch)
+            return tokenizer.encode_batch(batch, **kinds)
+
+        def encode_batch_fast(self, batch, **kinds):
+            asked.extend(batch)
+            return tokenizer.encode_batch_fast(batch, **kinds)
+
+    chunks = token_files.ChunkIds(Counted(), size=1000)
+    wanted = [np.array(e.ids, dtype="<u2").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    found = [own for at in range(0, len(texts), 256) for own in chunks.encode(texts[at : at + 256])]
+    assert found == wanted
+    assert len(asked) < len({c for t in texts for c in t.replace("\n", " ").split(" ")}) / 8
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 5000])
 def test_hash_is_minimal_and_perfect(n):
     keys = np.zeros(n, dtype=token_files.KEY)
