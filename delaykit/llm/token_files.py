@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -196,28 +197,41 @@ class ChunkIds:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        rows = [t.replace("\n", " ").split(" ") for t in texts]
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text; a null one is empty."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        spaced = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        rows = pc.split_pattern(spaced, " ")
+        words = rows.flatten().dictionary_encode()
+        ids = self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # The ids of the distinct chunks one after the other; a text takes a run for each of its chunks.
+        table = np.frombuffer(b"".join(ids), f"<u{self.width}")
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.width
+        place = words.indices.to_numpy()
+        size = sizes[place]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        taken = table[np.repeat((np.cumsum(sizes) - sizes)[place] - upto[:-1], size) + np.arange(upto[-1])].tobytes()
+        cuts = (upto[rows.offsets.to_numpy()] * self.width).tolist()
+        return [taken[first:last] for first, last in zip(cuts, cuts[1:])]
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks, from those encoded before or anew."""
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        found = [list(map(young.get, row)) for row in rows]
-        gaps = [[i for i, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
+        found = list(map(young.get, chunks))
         fresh = []
-        for chunk in {row[i] for row, at in zip(rows, gaps, strict=True) for i in at}:
-            ids = old.get(chunk)
-            if ids is None:
-                fresh.append(chunk)
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = old.get(chunks[i])
+            if found[i] is None:
+                fresh.append(i)
             else:
-                young[chunk] = ids
-        young.update(zip(fresh, self._fresh(fresh), strict=True))
-        for row, own, at in zip(rows, found, gaps, strict=True):
-            for i in at:
-                own[i] = young[row[i]]
-        for chunk in fresh:
-            if len(chunk) > self.longest:
-                del young[chunk]
-        return list(map(b"".join, found))
+                young[chunks[i]] = found[i]
+        for i, ids in zip(fresh, self._fresh([chunks[i] for i in fresh]), strict=True):
+            found[i] = ids
+            if len(chunks[i]) <= self.longest:
+                young[chunks[i]] = ids
+        return found
 
     def _fresh(self, chunks: list[str]) -> Iterator[bytes]:
         """The ids of each chunk: a call or a text for each would cost more than the chunk.
@@ -309,7 +323,7 @@ def write_files(
             ids, texts = batch.column(0), batch.column(1)
             for at in range(0, len(ids), 256):
                 found = ids.slice(at, 256).to_pylist()
-                coded = encoder.encode([t or "" for t in texts.slice(at, 256).to_pylist()])
+                coded = encoder.encode(texts.slice(at, 256))
                 for doc_id, own in zip(found, coded, strict=True):
                     key = (doc_id or 0, doc_id is None)
                     repeat = repeat + 1 if key == last and repeat >= 0 else 0
