@@ -71,3 +71,20 @@ def test_few_nodes_deal_out_their_rows():
     at = np.concatenate([grown.nodes_of(bins[:, i : i + 50], labels[:, i : i + 50]) for i in range(0, 4_000, 50)])
     np.testing.assert_array_equal(grown.nodes_of(bins, labels), at)
     assert 16 * len(grown.feature) < 4_000
+
+
+def test_rows_without_weight_do_not_hide_a_split():
+    bins, labels, sums = _rows(2_000, 11)
+    y = (bins[0] > 100) * 5.0 + (bins[1] > 40) * 1.0
+    for weight in (np.arange(2_000) % 3 > 0, np.arange(2_000) % 3 + 0.25):
+        h = weight.astype(float)
+        grown = trees.grow_here(bins, labels, np.column_stack([-y * h, h, np.ones(2_000)]), None, 0, trees.Rules())
+        found = np.array(grown.value)[grown.nodes_of(bins, labels)]
+        np.testing.assert_allclose(found[h > 0], y[h > 0], atol=1e-6)
+
+
+def test_labels_are_numbered_in_their_order():
+    labels = np.array([5, -(1 << 63), 7, 5, (1 << 63) - 1, -1, 7])
+    names, codes = trees._numbered(labels)
+    wanted = np.unique(labels, return_inverse=True)
+    assert names.tolist() == wanted[0].tolist() and codes.tolist() == wanted[1].tolist()
